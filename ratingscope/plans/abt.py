@@ -83,7 +83,8 @@ def clean_links(links: DataFrame, truncate_ids: bool = False) -> DataFrame:
         F.col("imdbId").cast("string").alias("imdb_id_numeric"),
         imdb_id(F.col("imdbId"), truncate_ids).alias("imdb_id"),
     )
-    return keep_one(typed, "imdb_id", ["movieId", "tmdb_id", "imdb_id_numeric"])
+    order = [F.asc_nulls_last(c) for c in ("movieId", "tmdb_id", "imdb_id_numeric")]
+    return keep_one(typed, "imdb_id", order)
 
 
 def clean_movies(movies: DataFrame) -> DataFrame:
