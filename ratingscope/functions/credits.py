@@ -6,7 +6,7 @@ falls back to patterns. Cast and crew fall back separately.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import strip
@@ -36,11 +36,16 @@ def literal_to_json(c: Column) -> Column:
     Constants are replaced outside quoted text only: each match starts where the
     last one ended and skips whole quoted strings.
     """
-    for constant, value in (("None", "null"), ("True", "true"), ("False", "false")):
+    def replaced(text: Column, constant: str, value: str) -> Column:
         first, rest = constant[0], constant[1:]
         skip = rf"(?:[^'\"{first}]++|{_QUOTED}|{first}(?!{rest}\b))*+"
-        c = F.regexp_replace(c, rf"(?s)\G({skip}){constant}\b", rf"$1{value}")
-    return F.regexp_replace(c, r"(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
+        return F.regexp_replace(text, rf"(?s)\G({skip}){constant}\b", rf"$1{value}")
+
+    without_none = replaced(c, "None", "null")
+    rare = replaced(replaced(without_none, "True", "true"), "False", "false")
+    rare = F.regexp_replace(rare, r"(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
+    has_rare = c.contains("True") | c.contains("False") | c.contains("\\x")
+    return F.when(has_rare, rare).when(c.contains("None"), without_none).otherwise(c)
 
 
 def _is_blank(c: Column) -> Column:
@@ -61,7 +66,7 @@ def _named(people: Column) -> Column:
 
 def _top_cast(actors: Column) -> Column:
     """First actors by order, ties in text order, names stripped, blanks dropped."""
-    first = F.slice(F.array_sort(actors), 1, CAST_LIMIT)
+    first = F.slice(F.sort_array(actors), 1, CAST_LIMIT)
     tidy = F.transform(
         first,
         lambda x: F.struct(
@@ -107,57 +112,72 @@ def _pattern_names(c: Column, pattern: str) -> Column:
     return F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(pattern), 1)
 
 
-def parse_cast(c: Column, mode: str = "auto") -> Column:
-    """``struct<names, characters, structured>`` of the first five actors.
-
-    ``mode="regex"`` uses the patterns for every text that is not blank.
-    """
-    blank = _is_blank(c)
+def _parsed(c: Column, type_name: str, mode: str) -> Column:
     if mode == "regex":
-        parsed = F.lit(None).cast(_CAST_TYPE)
-    else:
-        parsed = F.from_json(literal_to_json(c), _CAST_TYPE, _JSON_OPTIONS)
-    empty = F.array().cast("array<struct<name: string, character: string>>")
-    actors = (
-        F.when(blank, empty)
-        .when(parsed.isNotNull(), _structured_cast(parsed))
-        .otherwise(_pattern_cast(c))
-    )
-    return F.struct(
-        F.transform(actors, lambda x: x["name"]).alias("names"),
-        F.transform(actors, lambda x: x["character"]).alias("characters"),
-        (blank | parsed.isNotNull()).alias("structured"),
-    )
+        return F.lit(None).cast(type_name)
+    return F.from_json(literal_to_json(c), type_name, _JSON_OPTIONS)
 
 
-def parse_crew(c: Column, mode: str = "auto") -> Column:
-    """``struct<directors, writers, producers, structured>``.
+def _job(x: Column) -> Column:
+    return F.lower(F.coalesce(x["job"], F.lit("")))
 
-    A job that names writing wins over producing. The patterns are not exclusive.
-    """
-    blank = _is_blank(c)
-    if mode == "regex":
-        parsed = F.lit(None).cast(_CREW_TYPE)
-    else:
-        parsed = F.from_json(literal_to_json(c), _CREW_TYPE, _JSON_OPTIONS)
-    people = _named(parsed)
 
-    def job(x: Column) -> Column:
-        return F.lower(F.coalesce(x["job"], F.lit("")))
+def _directs(x: Column) -> Column:
+    return _job(x) == "director"
+
 
-    def writes(x: Column) -> Column:
-        return job(x).contains("writer") | job(x).contains("screenplay")
+def _writes(x: Column) -> Column:
+    return _job(x).contains("writer") | _job(x).contains("screenplay")
 
-    def pick(test, pattern: str) -> Column:
+
+def _produces(x: Column) -> Column:
+    return ~_writes(x) & _job(x).contains("producer")
+
+
+def parse_credits(df: DataFrame, cast: str = "cast", crew: str = "crew", mode: str = "auto") -> DataFrame:
+    """``df`` with the first five actors, directors, writers, producers and the method.
+
+    A job that names writing wins over producing; the patterns are not exclusive.
+    ``mode="regex"`` uses the patterns for every text that is not blank. Each text is
+    parsed in one projection and read in the next, so it is parsed once.
+    """
+    if mode not in ("auto", "regex"):
+        raise ValueError(f"unknown mode {mode!r}")
+    parsed = df.withColumns(
+        {
+            "_cast": _parsed(F.col(cast), _CAST_TYPE, mode),
+            "_crew": _parsed(F.col(crew), _CREW_TYPE, mode),
+            "_no_cast": _is_blank(F.col(cast)),
+            "_no_crew": _is_blank(F.col(crew)),
+        }
+    )
+
+    def people(test, pattern: str) -> Column:
         return (
-            F.when(blank, _no_names())
-            .when(parsed.isNotNull(), _stripped_names(F.filter(people, test)))
-            .otherwise(_pattern_names(c, pattern))
+            F.when(F.col("_no_crew"), _no_names())
+            .when(F.col("_crew").isNotNull(), _stripped_names(F.filter(_named(F.col("_crew")), test)))
+            .otherwise(_pattern_names(F.col(crew), pattern))
         )
 
-    return F.struct(
-        pick(lambda x: job(x) == "director", DIRECTOR_PATTERN).alias("directors"),
-        pick(writes, WRITER_PATTERN).alias("writers"),
-        pick(lambda x: ~writes(x) & job(x).contains("producer"), PRODUCER_PATTERN).alias("producers"),
-        (blank | parsed.isNotNull()).alias("structured"),
+    empty = F.array().cast("array<struct<name: string, character: string>>")
+    read = parsed.withColumns(
+        {
+            "_actors": F.when(F.col("_no_cast"), empty)
+            .when(F.col("_cast").isNotNull(), _structured_cast(F.col("_cast")))
+            .otherwise(_pattern_cast(F.col(cast))),
+            "director_names": people(_directs, DIRECTOR_PATTERN),
+            "writer_names": people(_writes, WRITER_PATTERN),
+            "producer_names": people(_produces, PRODUCER_PATTERN),
+            "extract_method": F.when(
+                (F.col("_no_cast") | F.col("_cast").isNotNull())
+                & (F.col("_no_crew") | F.col("_crew").isNotNull()),
+                "eval",
+            ).otherwise("regex"),
+        }
     )
+    return read.withColumns(
+        {
+            "main_cast_names": F.transform("_actors", lambda x: x["name"]),
+            "main_cast_characters": F.transform("_actors", lambda x: x["character"]),
+        }
+    ).drop("_cast", "_crew", "_no_cast", "_no_crew", "_actors")

@@ -10,9 +10,16 @@ from pyspark.sql import functions as F
 from .stopwords import ENGLISH
 
 
+# Unicode white space.
+WHITE_SPACE = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(c: Column) -> Column:
     """Both ends freed of any Unicode white space."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def clean_review(c: Column, glue: bool = True) -> Column:
@@ -23,20 +30,25 @@ def clean_review(c: Column, glue: bool = True) -> Column:
     apostrophes, which are always deleted.
     """
     if glue:
-        return F.regexp_replace(c, r"[^a-zA-Z0-9\s]", "")
+        return F.regexp_replace(c, r"[^a-zA-Z0-9\s]+", "")
     return F.regexp_replace(F.regexp_replace(c, r"[\[\]']", ""), r"[^a-zA-Z0-9\s]", " ")
 
 
-def words_of(c: Column, stop_words: Iterable[str] = ENGLISH) -> Column:
-    """Lower-case words between single white-space characters, stop words out.
+def pieces_of(c: Column) -> Column:
+    """Lower-case pieces between single white-space characters, blank ones included."""
+    return F.split(F.lower(F.coalesce(c, F.lit(""))), r"\s")
 
-    Blank pieces are dropped, null text gives no words.
-    """
+
+def is_word(piece: Column, stop_words: Iterable[str] = ENGLISH) -> Column:
+    """Neither blank nor a stop word in any case."""
     stop = sorted({w.lower() for w in stop_words})
-    pieces = F.split(F.lower(F.coalesce(c, F.lit(""))), r"\s")
-    if not stop:
-        return F.filter(pieces, lambda w: w != "")
-    return F.filter(pieces, lambda w: (w != "") & ~w.isin(stop))
+    return (piece != "") & ~piece.isin(stop) if stop else piece != ""
+
+
+def words_of(c: Column, stop_words: Iterable[str] = ENGLISH) -> Column:
+    """The words of a text, stop words out; null text gives none."""
+    stop_words = list(stop_words)
+    return F.filter(pieces_of(c), lambda w: is_word(w, stop_words))
 
 
 def is_positive(sentiment: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stopwords import ENGLISH
-from ..functions.text import clean_review, words_of
+from ..functions.text import clean_review, is_word, pieces_of, words_of
 
 # Fixed value: words shown per (side, category).
 TOP_WORDS = 100
@@ -34,22 +34,24 @@ def word_frequency(
     if mode not in ("independent", "paired"):
         raise ValueError(f"unknown mode {mode!r}")
     stop_words = list(stop_words)
-    tokens = {
-        "c": words_of(clean_review(F.col(critic), glue), stop_words),
-        "u": words_of(clean_review(F.col(audience), glue), stop_words),
-    }
-    rows = reviews.select(F.col(category).alias("category"), *[t.alias(s) for s, t in tokens.items()])
-
-    def one_side(words: str, other: str) -> Column:
-        weight = F.lit(1) if mode == "independent" else F.size(other)
-        return F.struct(
-            F.lit(words).alias("side"), F.col(words).alias("words"), weight.cast("long").alias("weight")
-        )
-
-    sides = rows.select("category", F.explode(F.array(one_side("c", "u"), one_side("u", "c"))).alias("s"))
-    words = sides.select("s.side", "category", "s.weight", F.explode("s.words").alias("word"))
-    if mode == "paired":
-        words = words.where("weight > 0")
+    texts = {"c": clean_review(F.col(critic), glue), "u": clean_review(F.col(audience), glue)}
+    if mode == "independent":
+        pieces = {side: pieces_of(text) for side, text in texts.items()}
+        weights = {side: F.lit(1) for side in texts}
+    else:
+        pieces = {side: words_of(text, stop_words) for side, text in texts.items()}
+        weights = {"c": F.size("u"), "u": F.size("c")}
+    rows = reviews.select(F.col(category).alias("category"), *[p.alias(s) for s, p in pieces.items()])
+    sides = [
+        F.struct(F.lit(s).alias("side"), F.col(s).alias("pieces"), weights[s].cast("long").alias("weight"))
+        for s in texts
+    ]
+    words = (
+        rows.select("category", F.explode(F.array(*sides)).alias("s"))
+        .where("s.weight > 0")
+        .select("s.side", "category", "s.weight", F.explode("s.pieces").alias("word"))
+        .where(is_word(F.col("word"), stop_words))
+    )
     counts = words.groupBy("side", "category", "word").agg(F.sum("weight").alias("word_occurrences"))
     return with_totals(counts)
 

@@ -16,7 +16,7 @@ from ..functions.casts import (
     parse_date,
     parse_month_date,
 )
-from ..functions.credits import parse_cast, parse_crew
+from ..functions.credits import parse_credits
 from ..functions.text import json_names
 from ..operators.dedupe import keep_one
 from ..operators.joins import hot_keys, or_join, salted_join
@@ -141,19 +141,8 @@ def clean_catalogue(catalogue: DataFrame) -> DataFrame:
 
 def clean_credits(credits: DataFrame, mode: str = "auto") -> DataFrame:
     """Parsed credits, one row per ``tmdb_id``: of several, the one with most actors."""
-    parsed = credits.select(
-        lenient_int(F.col("id")).alias("tmdb_id"),
-        parse_cast(F.col("cast"), mode).alias("c"),
-        parse_crew(F.col("crew"), mode).alias("w"),
-    ).select(
-        "tmdb_id",
-        F.col("c.names").alias("main_cast_names"),
-        F.col("c.characters").alias("main_cast_characters"),
-        F.col("w.directors").alias("director_names"),
-        F.col("w.writers").alias("writer_names"),
-        F.col("w.producers").alias("producer_names"),
-        F.when(F.col("c.structured") & F.col("w.structured"), "eval").otherwise("regex").alias("extract_method"),
-    )
+    texts = credits.select(lenient_int(F.col("id")).alias("tmdb_id"), "cast", "crew")
+    parsed = parse_credits(texts, mode=mode)
     flagged = parsed.select(
         "tmdb_id", "main_cast_names", "main_cast_characters",
         "director_names", "writer_names", "producer_names",
