@@ -689,7 +689,7 @@ def _abt_files(spark, sf) -> Catalog:
 
 def movie_table(spark, sf):
     """All sources from files to the 43 columns; lists as joined text, dates as text."""
-    abt = build_abt(AbtSources.from_catalog(_abt_files(spark, sf)), reuse_base=True)
+    abt = build_abt(AbtSources.from_catalog(_abt_files(spark, sf)))
     lists = {f.name for f in abt.schema if f.dataType.typeName() == "array"}
     doubles = {f.name for f in abt.schema if f.dataType.typeName() == "double"}
     dates = {f.name for f in abt.schema if f.dataType.typeName() == "date"}

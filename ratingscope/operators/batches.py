@@ -26,7 +26,8 @@ def assign_batches(
     batches (38 in the original export).
     """
     # The task id sits in the upper bits and the row within the task in the lower 33.
-    ranged = df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id())
+    # The hash lets ranges split rows that are equal in ``order``.
+    ranged = df.orderBy(*order, F.xxhash64(*df.columns)).withColumn("_at", F.monotonically_increasing_id())
     ranged = checkpointed(ranged).withColumns(
         {"_task": F.shiftright("_at", 33), "_pos": F.col("_at").bitwiseAND((1 << 33) - 1)}
     )

@@ -30,13 +30,12 @@ def review_aggregates(reviews: DataFrame) -> DataFrame:
 
 def match_report(rows: DataFrame, merged: DataFrame, matched: str) -> DataFrame:
     """One row: ``total`` rows before the join; ``matched``, ``unmatched`` after it."""
-    total = rows.agg(F.count(F.lit(1)).alias("total"))
-    found = merged.agg(
-        F.count_if(F.col(matched).isNotNull()).alias("matched"),
-        F.count_if(F.col(matched).isNull()).alias("unmatched"),
-    )
-    # Two one-row tables.
-    return total.crossJoin(F.broadcast(found))
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    before = rows.select(one.alias("total"), zero.alias("matched"), zero.alias("unmatched"))
+    hit = F.col(matched).isNotNull().cast("long")
+    after = merged.select(zero.alias("total"), hit.alias("matched"), (one - hit).alias("unmatched"))
+    sums = [F.coalesce(F.sum(c), zero).alias(c) for c in before.columns]
+    return before.unionAll(after).agg(*sums)
 
 
 def file_report(rows: DataFrame) -> DataFrame:
@@ -54,6 +53,7 @@ def stop_word_report(
     marked = counts.join(stop, F.lower(F.col(word)) == stop["_stop"], "left")
     removed = F.count_if(F.col("_hit").isNotNull())
     sizes = marked.groupBy(*by).agg(F.count(F.lit(1)).alias("before"), removed.alias("removed"))
-    whole = sizes.agg(F.sum("before").alias("before"), F.sum("removed").alias("removed"))
-    both = sizes.unionByName(whole, allowMissingColumns=True)
-    return both.select(*by, "before", (F.col("before") - F.col("removed")).alias("after"), "removed")
+    whole = sizes.groupingSets([[F.col(c) for c in by], []], *by).agg(
+        F.sum("before").alias("before"), F.sum("removed").alias("removed")
+    )
+    return whole.select(*by, "before", (F.col("before") - F.col("removed")).alias("after"), "removed")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -129,7 +131,10 @@ def avg_tfidf(
     within the ``by`` group. As idf is fixed per word, the mean needs only the total
     count and the number of rows: one aggregation by word, never by row and word.
     """
-    by = list(by)
+    kept = list(by)
+    by = kept or ["_all"]
+    if not kept:
+        rows = rows.withColumn("_all", F.lit(1))
     words = words_of(clean_review(F.col(text), glue), stop_words)
     base = rows.select(*by, words.alias("_words"))
 
@@ -148,13 +153,8 @@ def avg_tfidf(
         .agg(F.sum("hits").alias("_hits"), F.sum("docs").alias("_docs"))
     )
     sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
-    if by:
-        same = [counts[b].eqNullSafe(sizes[b]) for b in by]
-        condition = same[0]
-        for c in same[1:]:
-            condition = condition & c
-        joined = counts.join(sizes, condition).select(*[counts[b] for b in by], "word", "_hits", "_docs", "_rows")
-    else:
-        joined = counts.crossJoin(F.broadcast(sizes))
+    sizes = sizes.select(*[F.col(b).alias(f"_of_{b}") for b in by], "_rows")
+    same = reduce(and_, [F.col(b).eqNullSafe(F.col(f"_of_{b}")) for b in by])
     idf = F.log((F.col("_rows") + 1) / (F.col("_docs") + 1))
-    return joined.select(*by, "word", (F.col("_hits") / F.col("_docs") * idf).alias("avg_tfidf"))
+    weights = counts.join(sizes, same).withColumn("avg_tfidf", F.col("_hits") / F.col("_docs") * idf)
+    return weights.select(*kept, "word", "avg_tfidf")

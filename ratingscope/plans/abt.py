@@ -19,7 +19,7 @@ from ..functions.casts import (
 from ..functions.credits import parse_credits
 from ..functions.text import json_names
 from ..operators.dedupe import keep_one
-from ..operators.joins import hot_keys, or_join, salted_join
+from ..operators.joins import hot_keys_if_any, or_join, salted_join
 from ..operators.match import THRESHOLD, fuzzy_match
 from ..operators.reports import review_aggregates
 from ..sources.catalog import Catalog
@@ -200,35 +200,36 @@ def build_abt(
     threshold: float = THRESHOLD,
     credits_mode: str = "auto",
     one_row_per_id: bool = False,
-    reuse_base: bool = False,
     work_dir: str | None = None,
 ) -> DataFrame:
     """The movie table, one row per link and metadata row, with ABT_COLUMNS.
 
-    The joined base is read three times. ``reuse_base=True`` writes it once to the
-    shared folder (or ``work_dir``) and reads it back pruned.
+    The joined base is read three times, so it is written once to the shared folder
+    (or ``work_dir``) and read back pruned.
     """
-    links = clean_links(sources.links, truncate_ids)
-    base = base_table(links, clean_movies(sources.movies))
+    base = base_table(clean_links(sources.links, truncate_ids), clean_movies(sources.movies))
     if one_row_per_id:
         base = keep_one(base, "imdb_id", ["movieId", "title", "release_date", "tmdb_id"])
-    if reuse_base:
-        base = materialized(base, "abt-base", work_dir)
+    base = materialized(base, "abt-base", work_dir)
     options = {"threshold": threshold, "blank_matches": blank_matches}
-    # The four joins on imdb_id share one partitioning of the base; it is unique
-    # but for rare double matches. tmdb_id is not, and often null.
-    by_movie = (
-        base.join(clean_ratings(sources.ratings), "imdb_id", "left")
-        .join(match_critic(base, clean_critic(sources.critic), **options), "imdb_id", "left")
-        .join(match_catalogue(base, clean_catalogue(sources.catalogue), **options), "imdb_id", "left")
-        .join(review_aggregates(sources.reviews), "imdb_id", "left")
-    )
+    by_movie = [
+        clean_ratings(sources.ratings),
+        match_critic(base, clean_critic(sources.critic), **options),
+        match_catalogue(base, clean_catalogue(sources.catalogue), **options),
+        review_aggregates(sources.reviews),
+    ]
+    # Unless a movie has very many rows, these joins share one partitioning of the base.
+    hot = hot_keys_if_any(base, ["imdb_id"])
+    spread = ["title", "movieId", "release_date", "popularity_tmdb"]
+    abt = base
+    for table in by_movie:
+        abt = salted_join(abt, table, ["imdb_id"], hot, spread_left=spread, how="left")
     abt = salted_join(
-        by_movie,
+        abt,
         clean_credits(sources.credits, credits_mode),
         ["tmdb_id"],
-        hot_keys(links, ["tmdb_id"]),
-        spread_left=["imdb_id", "title"],
+        hot_keys_if_any(base, ["tmdb_id"]),
+        spread_left=["imdb_id", *spread],
         how="left",
     )
     abt = abt.withColumn("nf_available", F.coalesce("nf_available", F.lit(False)))
