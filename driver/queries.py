@@ -393,12 +393,12 @@ def word_freq_paired(spark, sf):
 
 
 def _counts(spark, sf):
-    return op.word_frequency(
+    return op.count_words(
         table(spark, sf, "documents").select(
             F.col("lang").alias("category"), F.col("text").alias("reviews_c"), F.lit(None).cast("string").alias("reviews_u")
         ),
         stop_words=[],
-    ).select("side", "category", "word", "word_occurrences")
+    )
 
 
 def _list(spark):

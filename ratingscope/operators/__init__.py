@@ -7,17 +7,19 @@ from .match import fuzzy_match
 from .reports import file_report, match_report, review_aggregates, stop_word_report
 from .words import (
     avg_tfidf,
+    count_words,
     drop_stop_words,
     drop_tagged_words,
     removed_words,
     top_words,
+    with_totals,
     word_frequency,
 )
 
 __all__ = [
-    "assign_batches", "avg_tfidf", "band_join", "classify_ratings", "drop_stop_words",
+    "assign_batches", "avg_tfidf", "band_join", "classify_ratings", "count_words", "drop_stop_words",
     "drop_tagged_words", "extract_class_text", "feature_stats", "fetch_outcomes",
     "fetch_totals", "file_report", "fit_classes", "fuzzy_match", "hot_keys", "hot_keys_if_any", "keep_one",
     "match_report", "or_join", "pending", "rating_quadrant", "removed_words",
-    "review_aggregates", "salted_join", "stop_word_report", "top_words", "word_frequency",
+    "review_aggregates", "salted_join", "stop_word_report", "top_words", "with_totals", "word_frequency",
 ]

@@ -16,7 +16,7 @@ from ..functions.text import clean_review, is_word, pieces_of, words_of
 TOP_WORDS = 100
 
 
-def word_frequency(
+def count_words(
     reviews: DataFrame,
     *,
     category: str = "category",
@@ -26,7 +26,7 @@ def word_frequency(
     glue: bool = True,
     stop_words: Iterable[str] = ENGLISH,
 ) -> DataFrame:
-    """Word counts per side and category, with the category's total on each row.
+    """``side, category, word, word_occurrences``.
 
     ``independent`` counts each side on its own. ``paired`` gives the counts of
     critic words x audience words of the same row: a word counts once for every
@@ -54,8 +54,7 @@ def word_frequency(
         .select("s.side", "category", "s.weight", F.explode("s.pieces").alias("word"))
         .where(is_word(F.col("word"), stop_words))
     )
-    counts = words.groupBy("side", "category", "word").agg(F.sum("weight").alias("word_occurrences"))
-    return with_totals(counts)
+    return words.groupBy("side", "category", "word").agg(F.sum("weight").alias("word_occurrences"))
 
 
 def with_totals(counts: DataFrame) -> DataFrame:
@@ -72,6 +71,11 @@ def with_totals(counts: DataFrame) -> DataFrame:
     )
 
 
+def word_frequency(reviews: DataFrame, **options) -> DataFrame:
+    """:func:`count_words` with the total of the side and category on every row."""
+    return with_totals(count_words(reviews, **options))
+
+
 def _listed(words: DataFrame, word: str) -> Column:
     return F.lower(F.col(word)) == words["_stop"]
 

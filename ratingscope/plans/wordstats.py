@@ -13,7 +13,7 @@ def category_words(reviews: DataFrame, clusters: DataFrame, **options) -> DataFr
     """``side, category, word, word_occurrences, total_word_occurrences``.
 
     ``reviews`` holds ``imdb_id``, ``reviews_c`` and ``reviews_u``; ``clusters`` holds
-    ``imdb_id`` and ``category``. Options as in :func:`word_frequency`.
+    ``imdb_id`` and ``category``. Options as in :func:`count_words`.
     """
     known = clusters.select("imdb_id", "category").where(
         F.col("imdb_id").isNotNull() & F.col("category").isNotNull()
