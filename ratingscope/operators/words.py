@@ -139,22 +139,14 @@ def avg_tfidf(
     by = kept or ["_all"]
     if not kept:
         rows = rows.withColumn("_all", F.lit(1))
-    words = words_of(clean_review(F.col(text), glue), stop_words)
-    base = rows.select(*by, words.alias("_words"))
-
-    def entry(hits: int, docs: int):
-        return lambda w: F.struct(
-            w.alias("word"), F.lit(hits).cast("long").alias("hits"), F.lit(docs).cast("long").alias("docs")
-        )
-
-    # Every occurrence counts a hit, every distinct word of the row one document.
-    entries = F.concat(
-        F.transform("_words", entry(1, 0)), F.transform(F.array_distinct("_words"), entry(0, 1))
-    )
+    # In the sorted words of a row, the first of each run stands for the document.
+    sorted_words = F.sort_array(pieces_of(clean_review(F.col(text), glue))).alias("_words")
+    words = rows.select(*by, sorted_words).select(*by, "_words", F.posexplode("_words").alias("_at", "word"))
+    is_first = (F.col("_at") == 0) | (F.get("_words", F.col("_at") - 1) != F.col("word"))
     counts = (
-        base.select(*by, F.inline(entries))
+        words.where(is_word(F.col("word"), list(stop_words)))
         .groupBy(*by, "word")
-        .agg(F.sum("hits").alias("_hits"), F.sum("docs").alias("_docs"))
+        .agg(F.count(F.lit(1)).alias("_hits"), F.count_if(is_first).alias("_docs"))
     )
     sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
     sizes = sizes.select(*[F.col(b).alias(f"_of_{b}") for b in by], "_rows")
