@@ -330,7 +330,7 @@ WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""",
     "q_review_agg": _REVIEWS,
     "q_optional_source": """SELECT c_custkey::VARCHAR AS imdb_id, NULL::INTEGER AS rev_count,
   NULL::DOUBLE AS rev_pos_share, NULL::DOUBLE AS rev_avg_len FROM customer""",
-    "q_empty_table": "SELECT r_regionkey, r_name, NULL::DOUBLE AS score FROM region",
+    "q_empty_table": "SELECT c_custkey, c_name, NULL::DOUBLE AS score FROM customer",
     "q_keep_one": """SELECT o_custkey, o_orderkey, o_totalprice FROM orders
 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) = 1""",
     "q_quadrant": f"WITH {_RATED} SELECT {_quadrant('critic', 'audience', '60')} AS category, count(*) AS n FROM rated GROUP BY 1",

@@ -706,8 +706,8 @@ def movie_table(spark, sf):
 
 def empty_table(spark, sf):
     """An absent source joined to a full one: the row stays, the columns are null."""
-    none = empty(spark, "r_regionkey int, score double")
-    return table(spark, sf, "region").join(none, "r_regionkey", "left")
+    none = empty(spark, "c_custkey long, score double")
+    return table(spark, sf, "customer").select("c_custkey", "c_name").join(none, "c_custkey", "left")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
