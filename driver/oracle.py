@@ -134,7 +134,7 @@ _URL = "'https://www.rottentomatoes.com/m/' || {0} || '/reviews'"
 _PAGES = "titles AS (SELECT page_id::VARCHAR AS imdb_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages)"
 
 _BATCHES = """SELECT o_custkey, o_orderkey, ((row_number() OVER (ORDER BY o_custkey, o_orderkey) - 1) // 1200 + 1)::INTEGER AS part
-FROM orders QUALIFY part <= 38"""
+FROM orders"""
 
 _JOBS = ["Director", "Writer/Producer", "Executive Producer", "Screenplay", "Editor"]
 
@@ -280,7 +280,7 @@ SELECT {', '.join(f'"{c}"' for c in ABT_COLUMNS)} FROM wide"""
 
 
 ORACLE: dict[str, str] = {
-    "q_norm_id": f"""SELECT o_orderkey, 'tt' || {_PAD.format('raw')} AS imdb_id, 'tt' || lpad(raw, 7, '0') AS cut_id
+    "q_norm_id": f"""SELECT o_orderkey, 'tt' || {_PAD.format('raw')} AS imdb_id
 FROM (SELECT o_orderkey, (o_orderkey * 997)::VARCHAR AS raw FROM orders)""",
     "q_guarded_cast": """SELECT l_orderkey, l_linenumber, l_partkey::INTEGER AS part_int,
   NULL::INTEGER AS quantity_guarded, trunc(l_quantity)::INTEGER AS quantity_int,

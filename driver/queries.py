@@ -56,7 +56,7 @@ def r6(c: Column) -> Column:
 def norm_id(spark, sf):
     raw = (F.col("o_orderkey") * 997).cast("string")
     return table(spark, sf, "orders").select(
-        "o_orderkey", rf.imdb_id(raw).alias("imdb_id"), rf.imdb_id(raw, truncate=True).alias("cut_id")
+        "o_orderkey", rf.imdb_id(raw).alias("imdb_id")
     )
 
 
@@ -476,7 +476,7 @@ def urls(spark, sf):
 
 def batches(spark, sf):
     orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey")
-    return op.assign_batches(orders, ["o_custkey", "o_orderkey"], max_parts=38)
+    return op.assign_batches(orders, ["o_custkey", "o_orderkey"])
 
 
 def extract_class(spark, sf):

@@ -12,16 +12,10 @@ MONTH_DATE_FORMATS = ("MMMM d, yyyy", "MMM d, yyyy", "M/d/yyyy")
 _NUMBER = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]*)\s*$"
 
 
-def imdb_id(raw: Column, truncate: bool = False) -> Column:
-    """``tt`` + at least seven digits; null stays null.
-
-    Ids longer than seven keep all digits; ``truncate=True`` cuts them to seven.
-    """
+def imdb_id(raw: Column) -> Column:
+    """``tt`` + at least seven digits; longer ids keep all of them, null stays null."""
     text = raw.cast("string")
-    padded = F.lpad(text, 7, "0")
-    if not truncate:
-        padded = F.when(F.length(text) >= 7, text).otherwise(padded)
-    return F.concat(F.lit("tt"), padded)
+    return F.concat(F.lit("tt"), F.when(F.length(text) >= 7, text).otherwise(F.lpad(text, 7, "0")))
 
 
 def digits_only_int(c: Column) -> Column:

@@ -5,30 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..workdir import checkpointed
+from ..workdir import materialized
 
-# Rows per batch and number of batches of the original export.
+# Fixed value: rows per batch of the original export.
 BATCH_ROWS = 1200
-BATCH_LIMIT = 38
 
 
 def assign_batches(
-    df: DataFrame,
-    order: list[str | Column],
-    rows: int = BATCH_ROWS,
-    max_parts: int | None = None,
+    df: DataFrame, order: list[str | Column], rows: int = BATCH_ROWS, work_dir: str | None = None
 ) -> DataFrame:
     """``part`` = 1, 2, .. for each run of ``rows`` rows in the given order.
 
-    The rows are sorted by ranges and kept by a reliable checkpoint, so both passes
-    see one order. Each range is numbered on its own; its offset is the sum of the
-    sizes before it, a table with one row per task. ``max_parts`` drops later
-    batches (38 in the original export).
+    The rows are sorted by ranges and written once, so both passes see one order. Each range
+    is numbered on its own; its offset is the sum of the sizes before it, a table with one row
+    per task.
     """
     # The task id sits in the upper bits and the row within the task in the lower 33.
     # The hash lets ranges split rows that are equal in ``order``.
     ranged = df.orderBy(*order, F.xxhash64(*df.columns)).withColumn("_at", F.monotonically_increasing_id())
-    ranged = checkpointed(ranged).withColumns(
+    ranged = materialized(ranged, "batch-rows", work_dir).withColumns(
         {"_task": F.shiftright("_at", 33), "_pos": F.col("_at").bitwiseAND((1 << 33) - 1)}
     )
     before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
@@ -39,5 +34,4 @@ def assign_batches(
     )
     part = F.floor((F.col("_offset") + F.col("_pos")) / rows).cast("int") + 1
     numbered = ranged.join(F.broadcast(offsets), "_task").withColumn("part", part)
-    numbered = numbered.drop("_at", "_task", "_pos", "_offset")
-    return numbered if max_parts is None else numbered.where(F.col("part") <= max_parts)
+    return numbered.drop("_at", "_task", "_pos", "_offset")

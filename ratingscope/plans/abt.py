@@ -75,13 +75,13 @@ class AbtSources:
         )
 
 
-def clean_links(links: DataFrame, truncate_ids: bool = False) -> DataFrame:
+def clean_links(links: DataFrame) -> DataFrame:
     """One row per ``imdb_id``; of several, the one with the lowest ``movieId``."""
     typed = links.select(
         lenient_int(F.col("movieId")).alias("movieId"),
         lenient_int(F.col("tmdbId")).alias("tmdb_id"),
         F.col("imdbId").cast("string").alias("imdb_id_numeric"),
-        imdb_id(F.col("imdbId"), truncate_ids).alias("imdb_id"),
+        imdb_id(F.col("imdbId")).alias("imdb_id"),
     )
     order = [F.asc_nulls_last(c) for c in ("movieId", "tmdb_id", "imdb_id_numeric")]
     return keep_one(typed, "imdb_id", order)
@@ -195,7 +195,6 @@ def match_catalogue(base: DataFrame, catalogue: DataFrame, **options) -> DataFra
 def build_abt(
     sources: AbtSources,
     *,
-    truncate_ids: bool = False,
     blank_matches: bool = False,
     threshold: float = THRESHOLD,
     credits_mode: str = "auto",
@@ -207,7 +206,7 @@ def build_abt(
     The joined base is read three times, so it is written once to the shared folder
     (or ``work_dir``) and read back pruned.
     """
-    base = base_table(clean_links(sources.links, truncate_ids), clean_movies(sources.movies))
+    base = base_table(clean_links(sources.links), clean_movies(sources.movies))
     if one_row_per_id:
         base = keep_one(base, "imdb_id", ["movieId", "title", "release_date", "tmdb_id"])
     base = materialized(base, "abt-base", work_dir)

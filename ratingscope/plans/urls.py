@@ -16,7 +16,6 @@ def review_urls(
     order: list[str] | None = None,
     template: str = URL_TEMPLATE,
     rows: int = BATCH_ROWS,
-    max_parts: int | None = None,
 ) -> DataFrame:
     """``title``, ``imdb_id``, ``url`` and batch number ``part``.
 
@@ -29,7 +28,7 @@ def review_urls(
         *[F.col(c).alias(f"_by_{c}") for c in order or []],
     )
     by = [f"_by_{c}" for c in order or []] + ["imdb_id", "title"]
-    return assign_batches(urls, by, rows, max_parts).select("title", "imdb_id", "url", "part")
+    return assign_batches(urls, by, rows).select("title", "imdb_id", "url", "part")
 
 
 def route_titles(movies: DataFrame, template: str = URL_TEMPLATE) -> DataFrame:

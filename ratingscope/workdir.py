@@ -1,47 +1,57 @@
-"""The shared folder that jobs use to cut lineage or hand tables over.
+"""The shared folder for tables that a job writes once and reads several times.
 
-A cluster names it in ``spark.checkpoint.dir``. Only a local-mode session
-without that setting (a test) gets a folder of its own.
+The folder is ``work_dir`` where one is given, else the one that ``spark.checkpoint.dir``
+names, else a folder below ``spark.sql.warehouse.dir``, which a cluster shares as well.
+
+Results are lazy, so their intermediate tables must outlive the call that made them.
+:func:`work_folder` removes them once the result is written::
+
+    with work_folder(spark):
+        write_parquet(build_abt(sources), out)
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_job: ContextVar[str | None] = ContextVar("ratingscope_job", default=None)
+
 
-def checkpoint_root(spark: SparkSession) -> str:
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    current = sc.getCheckpointDir()
-    if configured:
-        if not current:
-            sc.setCheckpointDir(configured)
-        return configured.rstrip("/")
-    if current:
-        return current.rstrip("/")
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="ratingscope-"))
-    return sc.getCheckpointDir().rstrip("/")
+def work_root(spark: SparkSession) -> str:
+    """The folder that all executors share."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
+    return root.rstrip("/")
 
 
-def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{checkpoint_root(spark)}/ratingscope/{name}-{uuid.uuid4().hex}"
+@contextmanager
+def work_folder(spark: SparkSession, work_dir: str | None = None) -> Iterator[str]:
+    """One folder for all tables written inside the block, removed at its end."""
+    path = f"{(work_dir or work_root(spark)).rstrip('/')}/job-{uuid.uuid4().hex}"
+    before = _job.set(path)
+    try:
+        yield path
+    finally:
+        _job.reset(before)
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` computed once and cut from its lineage (reliable checkpoint)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint()
+def new_path(spark: SparkSession, name: str, work_dir: str | None = None) -> str:
+    """A fresh path: in the job's folder, else in ``work_dir``, else in the shared one."""
+    root = _job.get() or (work_dir.rstrip("/") if work_dir else f"{work_root(spark)}/ratingscope")
+    return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
 def materialized(df: DataFrame, name: str, work_dir: str | None = None) -> DataFrame:
     """``df`` written once as Parquet and read back, so later readers prune columns."""
     spark = df.sparkSession
-    path = f"{work_dir.rstrip('/')}/{name}-{uuid.uuid4().hex}" if work_dir else new_path(spark, name)
+    path = new_path(spark, name, work_dir)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

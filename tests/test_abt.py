@@ -113,9 +113,9 @@ def test_unmatched_link(movies):
 def test_reviews_with_id(spark, catalog):
     sources = AbtSources.from_catalog(catalog)
     sources.reviews = spark.createDataFrame([("tt0114709", "abcd", "positive")], "IMDB_ID string, Review string, sentiment string")
-    rows = build_abt(sources, one_row_per_id=True, truncate_ids=True).collect()
+    rows = build_abt(sources, one_row_per_id=True).collect()
     assert {r.imdb_id: (r.rev_count, r.rev_pos_share, r.rev_avg_len) for r in rows}["tt0114709"] == (1, 1.0, 4.0)
-    assert "tt1087260" in {r.imdb_id for r in rows}
+    assert "tt10872600" in {r.imdb_id for r in rows}
 
 
 def test_cleaned_types(catalog):

@@ -109,16 +109,14 @@ def test_batch_folders(spark, tmp_path):
 
 def test_shared_folder_comes_from_the_session(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
-    assert workdir.checkpoint_root(spark) == shared
+    assert workdir.work_root(spark) == shared
     df = workdir.materialized(spark.range(3), "t")
     assert df.count() == 3
     assert all(f"{shared}/ratingscope/t-" in path for path in df.inputFiles())
 
 
-def test_a_cluster_must_name_the_folder():
+def test_without_a_shared_folder_the_warehouse_holds_it():
     class Context:
-        master = "yarn"
-
         def getCheckpointDir(self):
             return None
 
@@ -127,8 +125,14 @@ def test_a_cluster_must_name_the_folder():
 
         class conf:
             @staticmethod
-            def get(key, default):
-                return default
+            def get(key, *default):
+                return default[0] if default else "hdfs://host/warehouse"
+
+    assert workdir.work_root(Session()) == "hdfs://host/warehouse/_work"
+
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        workdir.checkpoint_root(Session())
+def test_work_folder_is_gone_after_the_job(spark, tmp_path):
+    with workdir.work_folder(spark, str(tmp_path)) as folder:
+        df = workdir.materialized(spark.range(3), "t")
+        assert all(folder in path for path in df.inputFiles()) and df.count() == 3
+    assert list(tmp_path.iterdir()) == []
