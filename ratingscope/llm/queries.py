@@ -41,8 +41,7 @@ def op4_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
-    ids = _table(spark, folder, "documents").select("doc_id", bpe.encode_text(F.col("text"), path, pattern).alias("ids"))
-    both = ids.select("doc_id", "ids", bpe.decode_ids(F.col("ids"), path, pattern).alias("decoded"))
+    both = _table(spark, folder, "documents").select("doc_id", bpe.encode_and_decode(F.col("text"), path, pattern).alias("b")).select("doc_id", "b.*")
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -242,7 +242,9 @@ def test_bpe_equals_the_public_library(spark, public):
     texts += ["a" * 50000, "ab" * 9000, " " * 3000, "<|endoftext|> it's we'll", "thththereerer" * 700]
     docs = docs_of(spark, texts)
     ids = docs.select("doc_id", bpe.encode_text(F.col("text"), PATH, PATTERN).alias("ids"))
-    rows = ids.select("doc_id", "ids", bpe.decode_ids(F.col("ids"), PATH, PATTERN).alias("back")).collect()
+    rows = ids.select("doc_id", "ids", bpe.decode_ids(F.col("ids"), PATH).alias("back")).collect()
+    both = docs.select("doc_id", bpe.encode_and_decode(F.col("text"), PATH, PATTERN).alias("b")).select("doc_id", "b.ids", F.col("b.decoded").alias("back"))
+    assert sorted(rows, key=str) == sorted(both.collect(), key=str)
     for r in rows:
         text = texts[r.doc_id] or ""
         assert r.ids == public.encode_ordinary(text), text[:50]
@@ -382,12 +384,12 @@ def test_mix(spark):
 def test_mix_is_random_by_inclusion_odds(spark):
     """Each document of a source is taken about as often as its inclusion probability says."""
     taken = Counter()
-    for seed in range(30):
+    for seed in range(12):
         docs = docs_of(spark, [f"{seed} x {i}" for i in range(90)], {i: "abc"[i % 3] for i in range(90)})
         for r in mixing.mix_sources(docs).where("source = 'b'").collect():
             taken[r.doc_id] += r.copies
-    share = sum(taken.values()) / (30 * 30)
-    assert share == pytest.approx(0.75, abs=0.03) and min(taken.values()) >= 12
+    share = sum(taken.values()) / (30 * 12)
+    assert share == pytest.approx(0.75, abs=0.03) and len(taken) == 30
 
 
 def test_mix_of_nothing(spark):
