@@ -384,12 +384,14 @@ SELECT title, imdb_id, {_URL.format('slug')} AS url,
 SELECT page_id, len(texts)::INTEGER AS n, array_to_string(texts, '|') AS text FROM ads""",
     "q_credits": _credits(fallback=False),
     "q_credits_fallback": _credits(fallback=True),
-    "q_roundtrip_csv": "SELECT c_custkey, c_name, round(c_acctbal, 6) AS c_acctbal, c_mktsegment FROM customer",
+    "q_roundtrip_csv": r"""SELECT c_custkey, c_name, 'Say "' || c_name || '", then \ or \"go\"' AS quoted,
+  round(c_acctbal, 6) AS c_acctbal, c_mktsegment FROM customer""",
     "q_roundtrip_tsv": "SELECT event_id, event_type, props FROM events",
     "q_roundtrip_parquet": "SELECT p_partkey, p_name, p_size FROM part",
     "q_roundtrip_multiline": "SELECT doc_id, text FROM documents",
     "q_roundtrip_words": _WORD_FREQ,
-    "q_roundtrip_batches": f"SELECT part, count(*) AS n, min(o_custkey) AS first_customer FROM ({_BATCHES}) GROUP BY part",
+    "q_roundtrip_batches": rf"""SELECT part, count(*) AS n, max('"' || o_orderkey || '", a \ b') AS title,
+  min(o_custkey) AS first_customer FROM ({_BATCHES}) GROUP BY part""",
     "q_word_list": """SELECT DISTINCT word FROM (
   SELECT lower(p_name) AS word FROM part UNION ALL SELECT lower(p_type) FROM part)""",
     "q_first_rows": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 5",

@@ -543,9 +543,10 @@ def credits_fallback(spark, sf):
 
 def roundtrip_csv(spark, sf):
     path = new_path(spark, "csv")
-    write_csv(table(spark, sf, "customer"), path)
+    quoted = F.concat(F.lit('Say "'), F.col("c_name"), F.lit('", then \\ or \\"go\\"'))
+    write_csv(table(spark, sf, "customer").withColumn("quoted", quoted), path)
     return read_csv(spark, path).select(
-        rf.lenient_long(F.col("c_custkey")).alias("c_custkey"), "c_name",
+        rf.lenient_long(F.col("c_custkey")).alias("c_custkey"), "c_name", "quoted",
         r6(rf.lenient_double(F.col("c_acctbal"))).alias("c_acctbal"), "c_mktsegment",
     )
 
@@ -583,9 +584,11 @@ def roundtrip_words(spark, sf):
 
 def roundtrip_batches(spark, sf):
     path = new_path(spark, "batches")
-    write_batches(batches(spark, sf), path)
+    title = F.concat(F.lit('"'), F.col("o_orderkey").cast("string"), F.lit('", a \\ b'))
+    write_batches(batches(spark, sf).withColumn("title", title), path)
     return read_csv(spark, path).groupBy("part").agg(
         F.count(F.lit(1)).alias("n"),
+        F.max("title").alias("title"),
         F.min(rf.lenient_long(F.col("o_custkey"))).alias("first_customer"),
     ).withColumn("part", F.col("part").cast("int"))
 

@@ -39,6 +39,14 @@ def pending(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return todo.join(done.select(key), key, "left_anti")
 
 
+# Names of HTML, fixed by the standard: what ends an unclosed paragraph or list item.
+_BLOCKS = frozenset(
+    "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()
+)
+_ITEMS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+_SCOPES = frozenset("article aside body button div dl fieldset footer form header main nav ol section table ul".split())
+
+
 class _ClassText(HTMLParser):
     """Shown text of all elements of a class, or of the first ``inner`` in each of them."""
 
@@ -54,6 +62,7 @@ class _ClassText(HTMLParser):
             if tag == "br":
                 self.handle_data(" ")
             return
+        self._close_implied(tag)
         classes = (dict(attrs).get("class") or "").split()
         container, feeds = None, []
         if self.inner and self.inner in classes:
@@ -68,6 +77,18 @@ class _ClassText(HTMLParser):
                 feeds.append(container["text"])
         self.open.append((tag, container, feeds))
 
+    def _close_implied(self, tag):
+        """An unclosed paragraph ends where a block begins, a list item where the next one does."""
+        ends = {"p"} if tag in _BLOCKS else set()
+        if tag in _ITEMS:
+            ends |= _ITEMS[tag]
+        for at in range(len(self.open) - 1, -1, -1):
+            name = self.open[at][0]
+            if name in ends:
+                del self.open[at:]
+            if name in _SCOPES:
+                return
+
     def handle_endtag(self, tag):
         if any(name == tag for name, _, _ in self.open):
             while self.open.pop()[0] != tag:
@@ -108,4 +129,5 @@ def extract_class_text(html: Column, class_name: str = CRITIC_CLASS, inner: str
         for pages in batches:
             yield pages.map(read, na_action=None)
 
-    return extract(html)
+    # Pages without the class name hold no such element and stay in the JVM.
+    return F.when(html.contains(class_name), extract(F.when(html.contains(class_name), html))).otherwise(F.array().cast("array<string>"))

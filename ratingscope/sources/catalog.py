@@ -30,8 +30,8 @@ PATHS = {
     "netflix": "project/netflix_movies_tv_shows/netflix_titles.csv",
 }
 
-# Files whose fields hold line breaks and doubled quotes.
-MULTILINE = {"movies_metadata", "credits", "keywords", "imdb_reviews"}
+# Files whose fields hold line breaks.
+MULTILINE = {"movies_metadata", "credits", "keywords"}
 
 
 class Catalog:

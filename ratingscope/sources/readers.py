@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import strip
+
 
 def read_csv(
     spark: SparkSession,
@@ -15,17 +17,21 @@ def read_csv(
     *,
     sep: str = ",",
     multiline: bool = False,
+    escape: str = '"',
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """CSV or TSV with a header: one file, a directory, a glob or a list of them.
 
-    ``multiline=True`` reads fields with line breaks and doubled quotes. Such a
-    file is one task, so keep many files rather than one big one.
+    Quotes inside quoted fields are doubled, as the writers of this package write them;
+    ``escape`` names another mark (a backslash, say). ``multiline=True`` also reads line
+    breaks inside fields. Such a file is one task, so keep many files rather than one big
+    one. A file whose header differs from the first one's is an error, not a shift.
     """
     reader = spark.read.option("header", True).option("sep", sep).option("encoding", "UTF-8")
-    if multiline:
-        reader = reader.option("multiLine", True).option("quote", '"').option("escape", '"')
+    reader = reader.option("quote", '"').option("escape", escape).option("multiLine", multiline)
     df = reader.csv(path)
+    # With the schema given, every file's header is held against it.
+    df = reader.schema(df.schema).option("enforceSchema", False).csv(path)
     if columns is not None:
         require_columns(df, columns)
         df = df.select(*columns)
@@ -40,7 +46,7 @@ def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None =
 def read_word_list(spark: SparkSession, path: str) -> DataFrame:
     """Comma-separated words, trimmed, lower-case, each once; column ``word``."""
     words = spark.read.text(path).select(F.explode(F.split("value", ",")).alias("word"))
-    words = words.select(F.lower(F.trim("word")).alias("word"))
+    words = words.select(F.lower(strip(F.col("word"))).alias("word"))
     return words.where(F.col("word") != "").distinct()
 
 

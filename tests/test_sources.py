@@ -136,3 +136,34 @@ def test_work_folder_is_gone_after_the_job(spark, tmp_path):
         df = workdir.materialized(spark.range(3), "t")
         assert all(folder in path for path in df.inputFiles()) and df.count() == 3
     assert list(tmp_path.iterdir()) == []
+
+
+def test_quoted_fields_survive_without_multiline(spark, tmp_path):
+    rows = [("tt1", 'Say "Hi", Bob'), ("tt2", "back\\slash, \\\"x"), ("tt3", '"'), ("tt4", "a,b")]
+    df = spark.createDataFrame(rows, "id string, title string")
+    write_csv(df, f"{tmp_path}/q")
+    assert sorted(map(tuple, read_csv(spark, f"{tmp_path}/q").collect())) == rows
+
+
+def test_other_columns_are_an_error(spark, tmp_path):
+    for name, head in (("a", "id,title"), ("b", "title,id")):
+        (tmp_path / "m").mkdir(exist_ok=True)
+        (tmp_path / "m" / f"{name}.csv").write_text(f"{head}\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, f"{tmp_path}/m").collect()
+
+
+def test_a_file_without_line_breaks_is_split(spark, tmp_path):
+    spark.range(50_000).selectExpr("id", "repeat('x', 20) as t").coalesce(1).write.option("header", True).csv(f"{tmp_path}/s")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+        assert read_csv(spark, f"{tmp_path}/s").rdd.getNumPartitions() > 3
+        assert read_csv(spark, f"{tmp_path}/s", multiline=True).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_word_list_is_freed_of_all_white_space(spark, tmp_path):
+    (tmp_path / "w.txt").write_text("the,\tAnd , of\u00a0,,the")
+    assert sorted(r.word for r in read_word_list(spark, f"{tmp_path}/w.txt").collect()) == ["and", "of", "the"]
