@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import compare, connect
+from driver.oracle import ORACLE
+from driver.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -17,11 +19,11 @@ def db():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, db, name):
-    sql = entry.oracle_sql().get(name)
+    sql = ORACLE.get(name)
     assert sql is not None or name == "q_classify"
-    difference, _ = compare(spark, db, entry.queries()[name], sql, FOLDER)
+    difference, _ = compare(spark, db, QUERIES[name], sql, FOLDER)
     assert not difference, difference
 
 
