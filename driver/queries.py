@@ -418,9 +418,7 @@ def stopword_report(spark, sf):
 
 
 def removed_sample(spark, sf):
-    return op.removed_words(_counts(spark, sf), _list(spark)).orderBy(
-        "side", "category", F.desc("word_occurrences"), "word"
-    ).limit(20)
+    return op.removed_sample(_counts(spark, sf), _list(spark))
 
 
 def tagged_words(spark, sf):
@@ -601,9 +599,8 @@ def word_list(spark, sf):
 
 
 def first_rows(spark, sf):
-    return table(spark, sf, "orders").select("o_orderkey", "o_totalprice").orderBy(
-        F.desc("o_totalprice"), "o_orderkey"
-    ).limit(5)
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    return op.first_rows(rows, [F.desc("o_totalprice"), "o_orderkey"])
 
 
 # -- the movie table ----------------------------------------------------------

@@ -1,7 +1,7 @@
 from .batches import assign_batches
 from .classify import classify_ratings, feature_stats, fit_classes, rating_quadrant
 from .crawl import extract_class_text, fetch_outcomes, fetch_totals, pending
-from .dedupe import keep_one
+from .dedupe import first_rows, keep_one
 from .joins import band_join, hot_keys, hot_keys_if_any, or_join, salted_join
 from .match import fuzzy_match
 from .reports import file_report, match_report, review_aggregates, stop_word_report
@@ -10,6 +10,7 @@ from .words import (
     count_words,
     drop_stop_words,
     drop_tagged_words,
+    removed_sample,
     removed_words,
     top_words,
     with_totals,
@@ -19,7 +20,7 @@ from .words import (
 __all__ = [
     "assign_batches", "avg_tfidf", "band_join", "classify_ratings", "count_words", "drop_stop_words",
     "drop_tagged_words", "extract_class_text", "feature_stats", "fetch_outcomes",
-    "fetch_totals", "file_report", "fit_classes", "fuzzy_match", "hot_keys", "hot_keys_if_any", "keep_one",
-    "match_report", "or_join", "pending", "rating_quadrant", "removed_words",
+    "fetch_totals", "file_report", "first_rows", "fit_classes", "fuzzy_match", "hot_keys", "hot_keys_if_any", "keep_one",
+    "match_report", "or_join", "pending", "rating_quadrant", "removed_sample", "removed_words",
     "review_aggregates", "salted_join", "stop_word_report", "top_words", "with_totals", "word_frequency",
 ]

@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 
 from ..functions.stopwords import ENGLISH
 from ..functions.text import clean_review, is_word, pieces_of, words_of
+from .dedupe import first_rows
 
 # Fixed value: words shown per (side, category).
 TOP_WORDS = 100
+# Fixed value: removed words shown.
+SAMPLE_ROWS = 20
 
 
 def count_words(
@@ -96,6 +99,17 @@ def removed_words(counts: DataFrame, stop_words: DataFrame, word: str = "word")
     return counts.join(stop, _listed(stop, word), "left_semi")
 
 
+def removed_sample(
+    counts: DataFrame,
+    stop_words: DataFrame,
+    n: int = SAMPLE_ROWS,
+    by: Iterable[str] = ("side", "category"),
+    weight: str = "word_occurrences",
+) -> DataFrame:
+    """The first ``n`` removed rows: by group, heaviest word first."""
+    return first_rows(removed_words(counts, stop_words), [*by, F.desc(weight), "word"], n)
+
+
 def drop_tagged_words(
     words: DataFrame, tags: DataFrame, dropped: Iterable[str] = ("ADJ", "JJ", "JJR", "JJS")
 ) -> DataFrame:

@@ -159,8 +159,13 @@ def clean_credits(credits: DataFrame, mode: str = "auto") -> DataFrame:
     return keep_one(flagged, "tmdb_id", order)
 
 
-def base_table(links: DataFrame, movies: DataFrame) -> DataFrame:
-    """Links with metadata, matched by either id. A link that matches twice gives two rows."""
+def base_table(links: DataFrame, movies: DataFrame, work_dir: str | None = None) -> DataFrame:
+    """Links with metadata, matched by either id. A link that matches twice gives two rows.
+
+    The join reads both sides several times, so each is cleaned and written once.
+    """
+    links = materialized(links, "abt-links", work_dir)
+    movies = materialized(movies, "abt-movies", work_dir)
     joined = or_join(links, movies, ("imdb_id", "imdb_id_movies"), ("tmdb_id", "id_int"))
     return joined.drop("imdb_id_movies", "id_int")
 
@@ -206,11 +211,11 @@ def build_abt(
     The joined base is read three times, so it is written once to the shared folder
     (or ``work_dir``) and read back pruned.
     """
-    base = base_table(clean_links(sources.links), clean_movies(sources.movies))
+    base = base_table(clean_links(sources.links), clean_movies(sources.movies), work_dir)
     if one_row_per_id:
         base = keep_one(base, "imdb_id", ["movieId", "title", "release_date", "tmdb_id"])
     base = materialized(base, "abt-base", work_dir)
-    options = {"threshold": threshold, "blank_matches": blank_matches}
+    options = {"threshold": threshold, "blank_matches": blank_matches, "work_dir": work_dir}
     by_movie = [
         clean_ratings(sources.ratings),
         match_critic(base, clean_critic(sources.critic), **options),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.reports import stop_word_report
 from ..operators.words import avg_tfidf, drop_stop_words, top_words, word_frequency
+from ..workdir import materialized
 
 
 def category_words(reviews: DataFrame, clusters: DataFrame, **options) -> DataFrame:
@@ -23,9 +24,16 @@ def category_words(reviews: DataFrame, clusters: DataFrame, **options) -> DataFr
 
 
 def clean_word_table(
-    counts: DataFrame, stop_words: DataFrame, by: tuple[str, ...] = ("side", "category")
+    counts: DataFrame,
+    stop_words: DataFrame,
+    by: tuple[str, ...] = ("side", "category"),
+    work_dir: str | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Counts without listed words, the report on them, and the top words for a cloud."""
+    """Counts without listed words, the report on them, and the top words for a cloud.
+
+    The counts are written once, so the three tables do not read the texts again.
+    """
+    counts = materialized(counts, "word-counts", work_dir)
     kept = drop_stop_words(counts, stop_words)
     return kept, stop_word_report(counts, stop_words, list(by)), top_words(kept, by=by)
 

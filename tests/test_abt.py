@@ -125,3 +125,12 @@ def test_cleaned_types(catalog):
     )
     assert clean_critic(catalog.table("rotten_tomatoes_movies")).count() == 3
     assert dict(clean_catalogue(catalog.table("netflix")).dtypes)["nf_date_added"] == "date"
+
+
+def test_all_tables_go_to_the_work_folder(spark, catalog, tmp_path, monkeypatch):
+    from ratingscope import workdir
+
+    monkeypatch.setattr(workdir, "work_root", lambda spark: "/nowhere")
+    assert build_abt(AbtSources.from_catalog(catalog), work_dir=f"{tmp_path}/w").count() > 0
+    names = {p.name.rsplit("-", 1)[0] for p in (tmp_path / "w").iterdir()}
+    assert {"abt-links", "abt-movies", "abt-base", "match-rows", "match-left", "match-right", "match-best"} <= names
