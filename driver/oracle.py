@@ -5,7 +5,7 @@ from __future__ import annotations
 from ratingscope.functions.stopwords import ENGLISH
 from ratingscope.plans.abt import ABT_COLUMNS
 
-from .queries import LIST_WORDS, TAGS
+from .queries import CHAIN_FILES, CLASSES, CLEAR_AUDIENCE, CLEAR_CRITIC, LIST_WORDS, TAGS
 
 
 def _in_list(words) -> str:
@@ -198,7 +198,7 @@ rtok AS (SELECT doc_id AS found_id, year, toks FROM docs WHERE doc_id NOT IN (SE
 SELECT id AS doc_id, found_id, round(score, 6) AS match_score, 'jaccard_year_v1' AS match_method FROM best"""
 
 
-def _movie_table() -> str:
+def _movie_table(critic_rating: str = "{0} % 101", audience_rating: str = "{0} % 89") -> str:
     critic = _best_match(
         "base", "ctok", "rt_movie_title, rt_original_release_date",
         "b.rt_movie_title, b.rt_original_release_date, b.rt_tomatometer_rating, b.rt_audience_rating, "
@@ -236,7 +236,7 @@ ratings AS (
   FROM (SELECT l_partkey AS p_partkey, l_quantity FROM lineitem) GROUP BY p_partkey),
 ctok AS (
   SELECT found_title AS rt_movie_title, make_date(found_year::BIGINT, 6::BIGINT, 1::BIGINT) AS rt_original_release_date,
-    (found_id % 101)::INTEGER AS rt_tomatometer_rating, (found_id % 89)::INTEGER AS rt_audience_rating,
+    ({critic_rating.format("found_id")})::INTEGER AS rt_tomatometer_rating, ({audience_rating.format("found_id")})::INTEGER AS rt_audience_rating,
     CASE WHEN found_id % 2 = 0 THEN 'Upright' ELSE 'Spilled' END AS rt_audience_status,
     (found_id * 10)::INTEGER AS rt_audience_count, year, toks FROM rtok),
 ntok AS (
@@ -279,6 +279,38 @@ wide AS (
 SELECT {', '.join(f'"{c}"' for c in ABT_COLUMNS)} FROM wide"""
 
 
+_CLEAR = f"""clear AS (
+  SELECT c_custkey, (CASE WHEN c_custkey % 17 <> 0 THEN {CLEAR_CRITIC.format('c_custkey')} END)::INTEGER AS critic,
+    (CASE WHEN c_custkey % 19 <> 0 THEN {CLEAR_AUDIENCE.format('c_custkey')} END)::INTEGER AS audience FROM customer),
+classed AS (
+  SELECT *, {_quadrant('critic', 'audience', '60')} AS category FROM clear
+  WHERE critic IS NOT NULL AND audience IS NOT NULL)"""
+
+_CHAIN = f"""WITH abt AS ({_movie_table(CLEAR_CRITIC, CLEAR_AUDIENCE)}),
+classes AS (
+  SELECT DISTINCT imdb_id, {_quadrant('rt_tomatometer_rating', 'rt_audience_rating', '60')} AS category FROM abt
+  WHERE rt_tomatometer_rating IS NOT NULL AND rt_audience_rating IS NOT NULL),
+reviews AS (
+  SELECT 'tt' || {_PAD.format("((doc_id + 1) * 1013)::VARCHAR")} AS imdb_id, CASE WHEN lang = 'en' THEN text END AS text
+  FROM documents),
+merged AS (SELECT category FROM reviews LEFT JOIN classes USING (imdb_id)),
+words AS (SELECT category, unnest({_words('text', ENGLISH)}) AS word FROM reviews JOIN classes USING (imdb_id)),
+counts AS (SELECT category, word, count(*) AS n FROM words GROUP BY ALL),
+top AS (
+  SELECT * FROM counts WHERE word NOT IN ({_in_list(LIST_WORDS)})
+  QUALIFY row_number() OVER (PARTITION BY category ORDER BY n DESC, word) <= 100),
+named AS (SELECT unnest([{_in_list(CLASSES)}]) AS category),
+sides AS (SELECT unnest(['c', 'u']) AS side)
+SELECT 'top' AS kind, 'c' AS side, category, word, n FROM top
+UNION ALL
+SELECT 'total', side, category, NULL, coalesce(sum(n), 0)::BIGINT
+FROM named JOIN sides ON true LEFT JOIN (SELECT 'c' AS side, category, n FROM counts) USING (side, category) GROUP BY side, category
+UNION ALL SELECT 'report', NULL, 'files', NULL, {CHAIN_FILES}
+UNION ALL SELECT 'report', NULL, 'total', NULL, (SELECT count(*) FROM reviews)
+UNION ALL SELECT 'report', NULL, 'matched', NULL, count(category) FROM merged
+UNION ALL SELECT 'report', NULL, 'unmatched', NULL, count(*) - count(category) FROM merged"""
+
+
 ORACLE: dict[str, str] = {
     "q_norm_id": f"""SELECT o_orderkey, 'tt' || {_PAD.format('raw')} AS imdb_id
 FROM (SELECT o_orderkey, (o_orderkey * 997)::VARCHAR AS raw FROM orders)""",
@@ -336,6 +368,9 @@ QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_o
     "q_quadrant": f"WITH {_RATED} SELECT {_quadrant('critic', 'audience', '60')} AS category, count(*) AS n FROM rated GROUP BY 1",
     "q_scaler_stats": f"""WITH {_RATED} SELECT round(avg(critic), 6) AS mean_critic, round(avg(audience), 6) AS mean_audience,
   round(stddev_samp(critic), 6) AS std_critic, round(stddev_samp(audience), 6) AS std_audience FROM rated""",
+    "q_classify": f"WITH {_CLEAR} SELECT * FROM classed",
+    "q_cluster_table": f"""WITH {_CLEAR} SELECT category, round(avg(critic), 4) AS critic_center,
+  round(avg(audience), 4) AS audience_center FROM classed GROUP BY category""",
     "q_left_outer_report": f"""WITH {_LABELS},
 merged AS (SELECT category FROM documents LEFT JOIN labelled USING (doc_id))
 SELECT (SELECT count(*) FROM documents) AS total, count(category) AS matched,
@@ -382,6 +417,11 @@ SELECT title, imdb_id, {_URL.format('slug')} AS url,
   SELECT page_id, list_transform(regexp_extract_all(html, '<div class="ad">(.*?)</div>', 1, 's'),
     lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g'))) AS texts FROM pages)
 SELECT page_id, len(texts)::INTEGER AS n, array_to_string(texts, '|') AS text FROM ads""",
+    "q_extract_inner": """WITH ads AS (
+  SELECT page_id, list_transform(regexp_extract_all(html, '<div class="ad">(.*?)</div>', 1, 's'),
+    lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g'))) AS found FROM pages),
+kept AS (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN [] ELSE found END AS texts FROM ads)
+SELECT page_id, len(texts)::INTEGER AS n, array_to_string(texts, '|') AS text FROM kept""",
     "q_credits": _credits(fallback=False),
     "q_credits_fallback": _credits(fallback=True),
     "q_roundtrip_csv": r"""SELECT c_custkey, c_name, 'Say "' || c_name || '", then \ or \"go\"' AS quoted,
@@ -396,4 +436,5 @@ SELECT page_id, len(texts)::INTEGER AS n, array_to_string(texts, '|') AS text FR
   SELECT lower(p_name) AS word FROM part UNION ALL SELECT lower(p_type) FROM part)""",
     "q_first_rows": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 5",
     "q_movie_table": _movie_table(),
+    "q_pipeline": _CHAIN,
 }

@@ -39,6 +39,7 @@ LIST_WORDS = [
     "the", "and", "of", "to", "in", "la", "de", "les", "der", "die", "que", "un",
     "is", "that", "con", "para", "und", "von",
 ]
+CHAIN_FILES = 8
 TAGS = [("the", "DT"), ("and", "CC"), ("un", "JJ"), ("la", "JJR"), ("die", "ADJ"), ("is", "VBZ"), ("of", "JJS")]
 
 
@@ -46,6 +47,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """Narrow columns dealt out by a key: the file of a small table is a single task."""
+    return df.repartition(key)
+
+
 def r6(c: Column) -> Column:
     return F.round(c, 6)
 
@@ -299,6 +305,24 @@ def keep_one(spark, sf):
     return op.keep_one(orders, "o_custkey", [F.desc("o_orderdate"), "o_orderkey"]).drop("o_orderdate")
 
 
+# Ratings in four well separated groups of a key, the same text in both dialects.
+CLEAR_CRITIC = "CASE {0} % 4 WHEN 0 THEN 90 WHEN 1 THEN 85 WHEN 2 THEN 18 ELSE 12 END + {0} % 3"
+CLEAR_AUDIENCE = "CASE {0} % 4 WHEN 0 THEN 88 WHEN 1 THEN 20 WHEN 2 THEN 82 ELSE 15 END + {0} % 5"
+CLASSES = [
+    "high_tomatometer_high_audience", "high_tomatometer_low_audience",
+    "low_tomatometer_high_audience", "low_tomatometer_low_audience",
+]
+
+
+def _clear_ratings(spark, sf):
+    key = "c_custkey"
+    return table(spark, sf, "customer").select(
+        key,
+        F.expr(f"CASE WHEN {key} % 17 <> 0 THEN {CLEAR_CRITIC.format(key)} END").cast("int").alias("critic"),
+        F.expr(f"CASE WHEN {key} % 19 <> 0 THEN {CLEAR_AUDIENCE.format(key)} END").cast("int").alias("audience"),
+    )
+
+
 def _customer_ratings(spark, sf):
     prices = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.round(F.avg("o_totalprice") / 5000).cast("int").alias("critic")
@@ -319,9 +343,12 @@ def scaler_stats(spark, sf):
 
 
 def classify(spark, sf):
-    return op.classify_ratings(_customer_ratings(spark, sf), "critic", "audience").select(
-        "c_custkey", "critic", "audience", "category"
-    )
+    return op.classify_ratings(_clear_ratings(spark, sf), "critic", "audience")
+
+
+def cluster_table(spark, sf):
+    clusters = op.classify_with_clusters(_clear_ratings(spark, sf), "critic", "audience")[1]
+    return clusters.select("category", *[F.round(c, 4).alias(c) for c in ("critic_center", "audience_center")])
 
 
 def left_outer_report(spark, sf):
@@ -484,6 +511,18 @@ def extract_class(spark, sf):
     )
 
 
+def extract_inner(spark, sf):
+    """The first inner element of each container; in every third page the containers lack it."""
+    boxed = r'<div class="box">by me <span class="ad">$1</span><span class="ad">later</span></div>'
+    bare = r'<div class="box">$1</div>'
+    to_box = lambda by: F.regexp_replace("html", r'(?s)<div class="ad">(.*?)</div>', by)
+    html = F.when(F.col("page_id") % 3 == 0, to_box(bare)).otherwise(to_box(boxed))
+    texts = op.extract_class_text(html, "box", inner="ad")
+    return table(spark, sf, "pages").select("page_id", texts.alias("texts")).select(
+        "page_id", F.size("texts").alias("n"), F.array_join("texts", "|").alias("text")
+    )
+
+
 def _credit_texts(spark, sf):
     key = F.col("o_orderkey")
     actors = []
@@ -507,7 +546,8 @@ def _credit_texts(spark, sf):
         ]),
         F.lit("]"),
     )
-    return table(spark, sf, "orders").select(
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    return dealt(orders, "o_orderkey").select(
         F.col("o_orderkey").cast("string").alias("id"), cast.alias("cast"), crew.alias("crew")
     )
 
@@ -606,8 +646,8 @@ def first_rows(spark, sf):
 # -- the movie table ----------------------------------------------------------
 
 
-def _abt_files(spark, sf) -> Catalog:
-    """The seven source files, made from the driver's tables."""
+def _abt_files(spark, sf, critic: str = "{0} % 101", audience: str = "{0} % 89") -> Catalog:
+    """The seven source files, made from the driver's tables; ratings as SQL of a key."""
     base = new_path(spark, "movies")
     catalog = Catalog(spark, base)
     part, key = table(spark, sf, "part"), F.col("p_partkey")
@@ -650,8 +690,8 @@ def _abt_files(spark, sf) -> Catalog:
         right.select(
             F.col("found_title").alias("movie_title"),
             F.concat(F.col("found_year"), F.lit("-06-01")).alias("original_release_date"),
-            (F.col("found_id") % 101).alias("tomatometer_rating"),
-            F.concat((F.col("found_id") % 89).cast("string"), F.lit(".0")).alias("audience_rating"),
+            F.expr(critic.format("found_id")).alias("tomatometer_rating"),
+            F.concat(F.expr(audience.format("found_id")).cast("string"), F.lit(".0")).alias("audience_rating"),
             F.when(F.col("found_id") % 2 == 0, "Upright").otherwise("Spilled").alias("audience_status"),
             (F.col("found_id") * 10).alias("audience_count"),
         ),
@@ -704,6 +744,44 @@ def movie_table(spark, sf):
     return abt.select(*[plain(c) for c in abt.columns])
 
 
+def chain(spark, sf):
+    """The whole run, each link through its file: movie table, classes, reviews with their
+    class, words per class, stop words, top words. Rows of all reports in one table."""
+    folder = new_path(spark, "chain")
+    write_parquet(build_abt(AbtSources.from_catalog(_abt_files(spark, sf, CLEAR_CRITIC, CLEAR_AUDIENCE))), f"{folder}/movies")
+    classes = op.classify_ratings(read_parquet(spark, f"{folder}/movies")).select("imdb_id", "category").distinct()
+    write_parquet(classes, f"{folder}/classes")
+    classes = read_parquet(spark, f"{folder}/classes")
+
+    code = ((F.col("doc_id") + 1) * 1013).cast("string")
+    reviews = table(spark, sf, "documents").select(
+        F.concat(F.lit("tt"), F.when(F.length(code) >= 7, code).otherwise(F.lpad(code, 7, "0"))).alias("imdb_id"),
+        F.col("source").alias("title"),
+        F.when(F.col("lang") == "en", F.col("text")).alias("reviews_c"),
+        F.lit(None).cast("string").alias("reviews_u"),
+    )
+    write_quoted_csv(reviews.repartition(CHAIN_FILES), f"{folder}/reviews")
+    reviews = read_csv(spark, f"{folder}/reviews", multiline=True)
+    report = attach_category(reviews, classes, files=True)[1]
+
+    write_word_counts(category_words(reviews, classes), f"{folder}/words", CLASSES)
+    counts = read_csv(spark, f"{folder}/words").withColumn("word_occurrences", rf.lenient_long(F.col("word_occurrences")))
+    _, _, best = clean_word_table(counts.drop("total_word_occurrences"), _list(spark))
+    totals = op.word_totals(counts, CLASSES)
+
+    def rows(df, kind, side, category, word, n):
+        return df.select(F.lit(kind).alias("kind"), side.alias("side"), category.alias("category"), word.alias("word"), n.cast("long").alias("n"))
+
+    none, side, category = F.lit(None).cast("string"), F.col("side"), F.col("category")
+    pairs = [F.struct(F.lit(c).alias("name"), F.col(c).alias("n")) for c in ("files", "total", "matched", "unmatched")]
+    named = report.select(F.explode(F.array(*pairs)).alias("r"))
+    return (
+        rows(best, "top", side, category, F.col("word"), F.col("word_occurrences"))
+        .unionByName(rows(totals, "total", side, category, none, F.col("total_word_occurrences")))
+        .unionByName(rows(named, "report", none, F.col("r.name"), none, F.col("r.n")))
+    )
+
+
 def empty_table(spark, sf):
     """An absent source joined to a full one: the row stays, the columns are null."""
     none = empty(spark, "c_custkey long, score double")
@@ -735,6 +813,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_quadrant": quadrant,
     "q_scaler_stats": scaler_stats,
     "q_classify": classify,
+    "q_cluster_table": cluster_table,
     "q_left_outer_report": left_outer_report,
     "q_attached_category": attached_category,
     "q_outcomes": outcomes,
@@ -754,6 +833,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_urls": urls,
     "q_batches": batches,
     "q_extract_class": extract_class,
+    "q_extract_inner": extract_inner,
     "q_credits": credits,
     "q_credits_fallback": credits_fallback,
     "q_roundtrip_csv": roundtrip_csv,
@@ -765,4 +845,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_word_list": word_list,
     "q_first_rows": first_rows,
     "q_movie_table": movie_table,
+    "q_pipeline": chain,
 }

@@ -56,10 +56,6 @@ def _no_names() -> Column:
     return F.array().cast("array<string>")
 
 
-def _stripped_names(people: Column) -> Column:
-    return F.transform(people, lambda x: strip(x["name"]))
-
-
 def _named(people: Column) -> Column:
     return F.filter(people, lambda x: x["name"].isNotNull() & (x["name"] != ""))
 
@@ -81,7 +77,7 @@ def _structured_cast(parsed: Column) -> Column:
     actors = F.transform(
         _named(parsed),
         lambda x, i: F.struct(
-            F.coalesce(x["order"], F.lit(MISSING_ORDER)).cast("decimal(38,0)").alias("order"),
+            F.coalesce(x["order"], F.lit(MISSING_ORDER)).alias("order"),
             i.alias("position"),
             x["name"].alias("name"),
             x["character"].alias("character"),
@@ -118,20 +114,14 @@ def _parsed(c: Column, type_name: str, mode: str) -> Column:
     return F.from_json(literal_to_json(c), type_name, _JSON_OPTIONS)
 
 
-def _job(x: Column) -> Column:
-    return F.lower(F.coalesce(x["job"], F.lit("")))
-
-
-def _directs(x: Column) -> Column:
-    return _job(x) == "director"
-
-
-def _writes(x: Column) -> Column:
-    return _job(x).contains("writer") | _job(x).contains("screenplay")
-
-
-def _produces(x: Column) -> Column:
-    return ~_writes(x) & _job(x).contains("producer")
+def _workers(parsed: Column) -> Column:
+    """Named crew with stripped name and one letter for the job; others are left out."""
+    job = lambda x: F.lower(F.coalesce(x["job"], F.lit("")))
+    kind = lambda x: (
+        F.when(job(x) == "director", "d").when(job(x).rlike("writer|screenplay"), "w").when(job(x).contains("producer"), "p")
+    )
+    known = F.transform(_named(parsed), lambda x: F.struct(strip(x["name"]).alias("name"), kind(x).alias("kind")))
+    return F.filter(known, lambda x: x["kind"].isNotNull())
 
 
 def parse_credits(df: DataFrame, cast: str = "cast", crew: str = "crew", mode: str = "auto") -> DataFrame:
@@ -152,10 +142,13 @@ def parse_credits(df: DataFrame, cast: str = "cast", crew: str = "crew", mode: s
         }
     )
 
-    def people(test, pattern: str) -> Column:
+    parsed = parsed.withColumn("_workers", _workers(F.col("_crew")))
+
+    def people(kind: str, pattern: str) -> Column:
+        chosen = F.transform(F.filter("_workers", lambda x: x["kind"] == kind), lambda x: x["name"])
         return (
             F.when(F.col("_no_crew"), _no_names())
-            .when(F.col("_crew").isNotNull(), _stripped_names(F.filter(_named(F.col("_crew")), test)))
+            .when(F.col("_crew").isNotNull(), chosen)
             .otherwise(_pattern_names(F.col(crew), pattern))
         )
 
@@ -165,9 +158,9 @@ def parse_credits(df: DataFrame, cast: str = "cast", crew: str = "crew", mode: s
             "_actors": F.when(F.col("_no_cast"), empty)
             .when(F.col("_cast").isNotNull(), _structured_cast(F.col("_cast")))
             .otherwise(_pattern_cast(F.col(cast))),
-            "director_names": people(_directs, DIRECTOR_PATTERN),
-            "writer_names": people(_writes, WRITER_PATTERN),
-            "producer_names": people(_produces, PRODUCER_PATTERN),
+            "director_names": people("d", DIRECTOR_PATTERN),
+            "writer_names": people("w", WRITER_PATTERN),
+            "producer_names": people("p", PRODUCER_PATTERN),
             "extract_method": F.when(
                 (F.col("_no_cast") | F.col("_cast").isNotNull())
                 & (F.col("_no_crew") | F.col("_crew").isNotNull()),
@@ -180,4 +173,4 @@ def parse_credits(df: DataFrame, cast: str = "cast", crew: str = "crew", mode: s
             "main_cast_names": F.transform("_actors", lambda x: x["name"]),
             "main_cast_characters": F.transform("_actors", lambda x: x["character"]),
         }
-    ).drop("_cast", "_crew", "_no_cast", "_no_crew", "_actors")
+    ).drop("_cast", "_crew", "_workers", "_no_cast", "_no_crew", "_actors")

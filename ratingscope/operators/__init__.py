@@ -1,5 +1,12 @@
 from .batches import assign_batches
-from .classify import classify_ratings, feature_stats, fit_classes, rating_quadrant
+from .classify import (
+    classify_ratings,
+    classify_with_clusters,
+    cluster_table,
+    feature_stats,
+    fit_classes,
+    rating_quadrant,
+)
 from .crawl import extract_class_text, fetch_outcomes, fetch_totals, pending
 from .dedupe import first_rows, keep_one
 from .joins import band_join, hot_keys, hot_keys_if_any, or_join, salted_join
@@ -15,12 +22,13 @@ from .words import (
     top_words,
     with_totals,
     word_frequency,
+    word_totals,
 )
 
 __all__ = [
-    "assign_batches", "avg_tfidf", "band_join", "classify_ratings", "count_words", "drop_stop_words",
+    "assign_batches", "avg_tfidf", "band_join", "classify_ratings", "classify_with_clusters", "cluster_table", "count_words", "drop_stop_words",
     "drop_tagged_words", "extract_class_text", "feature_stats", "fetch_outcomes",
     "fetch_totals", "file_report", "first_rows", "fit_classes", "fuzzy_match", "hot_keys", "hot_keys_if_any", "keep_one",
     "match_report", "or_join", "pending", "rating_quadrant", "removed_sample", "removed_words",
-    "review_aggregates", "salted_join", "stop_word_report", "top_words", "with_totals", "word_frequency",
+    "review_aggregates", "salted_join", "stop_word_report", "top_words", "with_totals", "word_frequency", "word_totals",
 ]

@@ -28,14 +28,20 @@ def review_aggregates(reviews: DataFrame) -> DataFrame:
     )
 
 
-def match_report(rows: DataFrame, merged: DataFrame, matched: str) -> DataFrame:
-    """One row: ``total`` rows before the join; ``matched``, ``unmatched`` after it."""
+def match_report(rows: DataFrame, merged: DataFrame, matched: str, files: bool = False) -> DataFrame:
+    """One row: ``total`` rows before the join; ``matched``, ``unmatched`` after it.
+
+    ``files`` adds the number of files that hold rows, for a table read straight from files.
+    """
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
-    before = rows.select(one.alias("total"), zero.alias("matched"), zero.alias("unmatched"))
+    from_file = F.col("_metadata.file_path") if files else F.lit(None).cast("string")
+    before = rows.select(one.alias("total"), zero.alias("matched"), zero.alias("unmatched"), from_file.alias("_file"))
     hit = F.col(matched).isNotNull().cast("long")
-    after = merged.select(zero.alias("total"), hit.alias("matched"), (one - hit).alias("unmatched"))
-    sums = [F.coalesce(F.sum(c), zero).alias(c) for c in before.columns]
-    return before.unionAll(after).agg(*sums)
+    after = merged.select(
+        zero.alias("total"), hit.alias("matched"), (one - hit).alias("unmatched"), F.lit(None).cast("string").alias("_file")
+    )
+    sums = [F.coalesce(F.sum(c), zero).alias(c) for c in ("total", "matched", "unmatched")]
+    return before.unionAll(after).agg(*sums, *([F.count_distinct("_file").alias("files")] if files else []))
 
 
 def file_report(rows: DataFrame) -> DataFrame:

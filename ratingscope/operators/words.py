@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.stopwords import ENGLISH
 from ..functions.text import clean_review, is_word, pieces_of, words_of
+from ..sources.readers import small_table
 from .dedupe import first_rows
 
 # Fixed value: words shown per (side, category).
@@ -74,6 +75,15 @@ def with_totals(counts: DataFrame) -> DataFrame:
     )
 
 
+def word_totals(counts: DataFrame, categories: Iterable[str]) -> DataFrame:
+    """``side, category, total_word_occurrences`` of both sides and all named categories, 0 if empty."""
+    pairs = [(side, c) for c in categories for side in ("c", "u")]
+    known = small_table(counts.sparkSession, pairs, "side string, category string")
+    none = known.withColumn("word_occurrences", F.lit(0).cast("long"))
+    both = counts.select("side", "category", "word_occurrences").unionByName(none)
+    return both.groupBy("side", "category").agg(F.sum("word_occurrences").alias("total_word_occurrences"))
+
+
 def word_frequency(reviews: DataFrame, **options) -> DataFrame:
     """:func:`count_words` with the total of the side and category on every row."""
     return with_totals(count_words(reviews, **options))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,10 +31,11 @@ def write_quoted_csv(df: DataFrame, path: str) -> None:
     )
 
 
-def write_word_counts(counts: DataFrame, path: str) -> None:
+def write_word_counts(counts: DataFrame, path: str, categories: Iterable[str] = ()) -> None:
     """Word counts below ``side=../category=..``, most frequent word first.
 
-    Ranges, not hashes, spread the rows: one big category fills several tasks.
+    Ranges, not hashes, spread the rows: one big category fills several tasks. Each side of
+    a named category gets its folder even if it has no words: a file with the header alone.
     """
     order = ["side", "category", F.desc("word_occurrences"), "word"]
     (
@@ -46,6 +49,14 @@ def write_word_counts(counts: DataFrame, path: str) -> None:
         .option("escape", '"')
         .csv(path)
     )
+    spark = counts.sparkSession
+    columns = counts.drop("side", "category").schema
+    for category in categories:
+        for side in ("c", "u"):
+            folder = f"{path}/side={side}/category={category}"
+            target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+                write_csv(spark.createDataFrame([], columns), folder)
 
 
 def write_batches(batches: DataFrame, path: str) -> None:

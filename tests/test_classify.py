@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ratingscope.operators import classify_ratings, feature_stats, fit_classes, rating_quadrant
+from ratingscope.operators import classify_ratings, classify_with_clusters, feature_stats, fit_classes, rating_quadrant
 
 CENTERS = {"high_high": (90, 85), "high_low": (85, 25), "low_high": (20, 80), "low_low": (15, 20)}
 NAMES = {
@@ -88,3 +88,20 @@ def test_a_constant_rating(spark):
     df = movies(spark).withColumn("rt_audience_rating", F.lit(70)).where("rt_tomatometer_rating is not null")
     names = {r.category for r in classify_ratings(df).collect()}
     assert names == {"high_tomatometer_high_audience", "low_tomatometer_high_audience"}
+
+
+def test_clusters_name_the_rows(spark):
+    df = movies(spark)
+    rows, clusters = classify_with_clusters(df, keep_cluster=True)
+    names = {r.cluster_id: r.category for r in clusters.collect()}
+    assert len(names) == 4
+    assert all(names[r.cluster_id] == r.category for r in rows.collect())
+
+
+def test_statistics_from_weighted_points(spark):
+    df = movies(spark).dropna()
+    columns = ["rt_tomatometer_rating", "rt_audience_rating"]
+    _, mean, std = fit_classes(df, columns)
+    stats = feature_stats(df, columns).first()
+    assert mean == pytest.approx([stats[f"mean_{c}"] for c in columns])
+    assert std == pytest.approx([stats[f"std_{c}"] for c in columns])

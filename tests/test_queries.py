@@ -21,8 +21,7 @@ def db():
 
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, db, name):
-    sql = ORACLE.get(name)
-    assert sql is not None or name == "q_classify"
+    sql = ORACLE[name]
     difference, _ = compare(spark, db, QUERIES[name], sql, FOLDER)
     assert not difference, difference
 

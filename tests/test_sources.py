@@ -100,6 +100,17 @@ def test_word_count_folders(spark, tmp_path):
     assert [r.word for r in back.collect()] == ["a", "b"]
 
 
+def test_word_count_folders_of_empty_categories(spark, tmp_path):
+    rows = [("c", "x", "a", 3, 3)]
+    schema = "side string, category string, word string, word_occurrences long, total_word_occurrences long"
+    write_word_counts(spark.createDataFrame(rows, schema), f"{tmp_path}/w", ["x", "y"])
+    folders = sorted(str(p.relative_to(tmp_path / "w")) for p in (tmp_path / "w").glob("*/*") if p.is_dir())
+    assert folders == [f"side={s}/category={c}" for s in "cu" for c in "xy"]
+    none = read_csv(spark, f"{tmp_path}/w/side=u/category=y")
+    assert none.columns == ["word", "word_occurrences", "total_word_occurrences"] and none.count() == 0
+    assert [(r.word, r.side, r.category) for r in read_csv(spark, f"{tmp_path}/w").collect()] == [("a", "c", "x")]
+
+
 def test_batch_folders(spark, tmp_path):
     df = spark.range(5).withColumn("part", F.ceil((F.col("id") + 1) / 2).cast("int"))
     write_batches(df, f"{tmp_path}/b")

@@ -127,3 +127,9 @@ def test_tfidf(spark):
         for w, v in tfidf([r[3] for r in rows if r[0] in ids]).items()
     }
     assert got == want
+
+
+def test_totals_of_empty_categories(spark):
+    counts = spark.createDataFrame([("c", "x", "a", 3), ("c", "x", "b", 1)], "side string, category string, word string, word_occurrences long")
+    got = {(r.side, r.category): r.total_word_occurrences for r in op.word_totals(counts, ["x", "y"]).collect()}
+    assert got == {("c", "x"): 4, ("u", "x"): 0, ("c", "y"): 0, ("u", "y"): 0}
