@@ -43,6 +43,7 @@ ABT_COLUMNS = [
     "director_names", "writer_names", "producer_names",
 ]
 
+# Columns of the critic site and of the catalogue, as they stand above.
 CRITIC_COLUMNS = [
     "rt_movie_title", "rt_original_release_date", "rt_tomatometer_rating",
     "rt_audience_rating", "rt_audience_status", "rt_audience_count",
