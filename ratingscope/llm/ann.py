@@ -14,7 +14,8 @@ radius is the quantile RECALL of the distances of their true neighbours. A query
 few rows goes through wider radii until it has them.
 
 Work is dealt out in a grid of blocks of rows and blocks of queries, both by a hash of the id;
-a cell keeps its best rows per query, and the cells' lists are merged.
+a cell keeps its best rows per query, and the cells' lists are merged. Blocks are smaller for
+longer vectors, so that a cell's memory is bounded.
 
 Edge cases. Vectors that are null, empty, zero, hold null or non-finite components, or differ in length from
 most, take no part, nor do rows without an id. Rows that repeat an id count once (the smallest
@@ -43,6 +44,7 @@ RECALL = 0.97
 STEPS = 15
 SEED = 5
 LEAST_BLOCK, MOST_BLOCK = 4096, 65536
+NUMBERS = 1 << 22  # components of the vectors of a block, and of pairs scored at a time
 CHUNK = 32  # queries that probe at a time
 FOUND = "query_id long, vec_id long, score double"
 
@@ -152,12 +154,13 @@ def _grid(rows: DataFrame, queries: DataFrame, codes: Codes, radius: int, k: int
             ids, vectors = index.column("vec_id").to_numpy(), _matrix(index.column("vector"))
             q_ids, q_vectors = asked.column("vec_id").to_numpy(), _matrix(asked.column("vector"))
             tables, q_codes = SubstringIndex(codes.of(vectors)), codes.of(q_vectors, query=True)
+            part = max(1, NUMBERS // vectors.shape[1])
             for at in range(0, len(q_ids), CHUNK):
                 q, row = tables.within(q_codes[at : at + CHUNK], radius)
                 q = q + at
                 own = ids[row] != q_ids[q]
                 q, row = q[own], row[own]
-                scores = np.concatenate([inner(q_vectors[q[s : s + 65536]], vectors[row[s : s + 65536]]) for s in range(0, len(q), 65536)]) if len(q) else np.zeros(0)
+                scores = np.concatenate([inner(q_vectors[q[s : s + part]], vectors[row[s : s + part]]) for s in range(0, len(q), part)]) if len(q) else np.zeros(0)
                 best = _best(q, ids[row], scores, k)
                 out.append((q_ids[q[best]], ids[row[best]], scores[best]))
         columns = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, dtype=np.int64)] * 2 + [np.zeros(0)]
@@ -198,18 +201,19 @@ def nearest(embeddings: DataFrame, *, vector: str = "embedding", every: int = EV
     """``query_id, rank, vec_id, score``: the k nearest found of every ``every``-th id."""
     spark = embeddings.sparkSession
     rows = usable(embeddings, vector, work_dir)
-    facts = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))).alias("norm"), F.count_if(F.col("vec_id") % every == 0).alias("q")).first()
+    facts = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))).alias("norm"), F.count_if(F.col("vec_id") % every == 0).alias("q"), F.max(F.size("vector")).alias("d")).first()
     if not facts["n"] or not facts["q"]:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     queries = rows.where(F.col("vec_id") % every == 0)
     # A few thousand vectors and queries, by a hash of the id: bounded, and alike in a rerun.
-    by_hash = lambda df, count, most: df.where(F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(1 << 30)) < int(min(1.0, 1.2 * most / count) * (1 << 30))).limit(most).collect()
+    by_hash = lambda df, count, most: df.where(F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(1 << 30)) < int(min(1.0, 1.2 * most / count) * (1 << 30))).orderBy(F.xxhash64("vec_id"), "vec_id").limit(most).collect()
     sample = by_hash(rows.select("vec_id", "vector"), facts["n"], SAMPLE)
     codes = learn_codes(np.array([r["vector"] for r in sample or queries.limit(SAMPLE).collect()]), facts["norm"])
     probes = by_hash(queries.select("vec_id", "vector"), facts["q"], PROBES) or queries.limit(PROBES).collect()
     radius = _measured_radius(rows, probes, codes, k, recall)
 
-    block = lambda count: math.ceil(count / min(MOST_BLOCK, max(LEAST_BLOCK, count // 64)))
+    most = max(1, min(MOST_BLOCK, NUMBERS // facts["d"]))
+    block = lambda count: math.ceil(count / min(most, max(LEAST_BLOCK, count // 64)))
     wanted = min(k, facts["n"] - 1)
     done: DataFrame | None = None
     left, count = queries, facts["q"]

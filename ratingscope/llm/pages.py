@@ -17,6 +17,7 @@ with their parent or where HTML lets them end. Texts are taken whole, whatever t
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -59,7 +60,7 @@ GROUP = 64  # pages that go through the network together
 
 @dataclass
 class Block:
-    path: tuple[str, ...]
+    path: tuple[str, ...]  # tags, classes and ids above, outermost first, each once
     text: str
     linked: float  # share of characters inside links
 
@@ -68,7 +69,9 @@ def blocks_of(html: str | None) -> list[Block]:
     """Leaf blocks of a page in order."""
     html = html or ""
     found: list[Block] = []
+    # Open elements, each with the path down to it, and how many there are of a name.
     stack: list[tuple[str, tuple[str, ...]]] = []
+    opened: Counter = Counter()
     parts: list[str] = []
     linked, links = 0, 0
     path: tuple[str, ...] = ()
@@ -84,17 +87,25 @@ def blocks_of(html: str | None) -> list[Block]:
     def add(piece: str) -> None:
         nonlocal linked, path
         if not parts and piece.strip():
-            path = tuple(name for _, names in stack for name in names)
+            path = stack[-1][1] if stack else ()
         if parts or piece.strip():
             parts.append(piece)
             if links:
                 linked += len(piece.strip())
 
-    def close(names: frozenset[str] | set[str]) -> None:
+    def end(k: int) -> None:
+        """End the open element at place k and all inside it."""
+        for name, _ in stack[k:]:
+            opened[name] -= 1
+        del stack[k:]
+
+    def close(names: set[str]) -> None:
         """End an open element of ``names``, unless a container hides it."""
+        if not any(opened[name] for name in names):
+            return
         for k in range(len(stack) - 1, -1, -1):
             if stack[k][0] in names:
-                del stack[k:]
+                end(k)
                 return
             if stack[k][0] in SCOPES:
                 return
@@ -114,10 +125,8 @@ def blocks_of(html: str | None) -> list[Block]:
                 flush()
             elif name == "a":
                 links = max(0, links - 1)
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    del stack[k:]
-                    break
+            if opened[name]:
+                end(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name))
             continue
         if name == "br":
             add(" ")
@@ -131,16 +140,19 @@ def blocks_of(html: str | None) -> list[Block]:
         if name in VOID or match[4].endswith("/"):
             continue
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
-            at = end.end() if end else len(html)
+            closing = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
+            at = closing.end() if closing else len(html)
             continue
         if name == "a":
             links += 1
+        above = stack[-1][1] if stack else ()
         if name not in INLINE:
             names = [w for a, b, c in NAMES.findall(match[4]) for w in re.split(r"[\s_-]+", (a or b or c).lower()) if w]
-            stack.append((name, (name, *(f".{w}" for w in names))))
-        else:
-            stack.append((name, ()))
+            # Names met before are not repeated, so deep nesting shares one path.
+            new = dict.fromkeys(n for n in (name, *(f".{w}" for w in names)) if n not in above)
+            above = (*above, *new) if new else above
+        stack.append((name, above))
+        opened[name] += 1
     flush()
     return found
 

@@ -180,7 +180,9 @@ def drop_near_duplicates(docs: DataFrame, *, radius: int = RADIUS, work_dir: str
     """
     found = simhash_components(docs.where(F.col("doc_id").isNotNull()), radius=radius, work_dir=work_dir)
     keep = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(keep, "doc_id", "left_semi")
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
-    kept = kept.withColumn("_at", F.row_number().over(first)).where("_at = 1").drop("_at").select(*docs.columns)
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    # Packed, so that columns of any name come through.
+    rows = docs.select(F.struct("*").alias("row"))
+    kept = rows.join(keep, F.col("row.doc_id") == F.col("doc_id"), "left_semi")
+    first = Window.partitionBy("row.doc_id").orderBy(F.xxhash64("row"))
+    kept = kept.select("row", F.row_number().over(first).alias("at")).where("at = 1").select("row")
+    return kept.unionByName(rows.where("row.doc_id is null")).select("row.*")

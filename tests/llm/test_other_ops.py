@@ -135,6 +135,15 @@ def test_blocks():
     assert [b.text for b in pages.blocks_of("plain < text > only <b")] == ["plain < text > only <b"]
 
 
+def test_deep_nesting_stays_small():
+    """Time and memory of broken pages grow with their length, not with its square."""
+    deep = "".join(f"<div class='c{i % 5}'>x{i}" for i in range(40_000))
+    found = pages.blocks_of(deep + "</nav>" * 40_000 + "<h2>" * 40_000 + "</section>end")
+    assert len(found) == 40_001 and found[-1].text == "end"
+    assert max(len(b.path) for b in found) == 7 and len({id(b.path) for b in found}) < 10
+    assert pages.blocks_of("<div><ul><li>a</div>b")[1].path == ()
+
+
 def test_gradients_of_the_labeller():
     rng = np.random.default_rng(0)
     model = pages.Labeller(1)
@@ -208,3 +217,43 @@ def test_pipeline(spark, tmp_path):
             assert all(r.n_chars is None or r.n_chars == len(r.text) for r in rows)
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert sorted(r.doc_id for r in out) == sorted(r.doc_id for r in left.collect()) and all(r.exact for r in out)
+
+
+CLASHING = ["row", "spans", "text_hash", "row_hash", "hash", "copies", "new", "at", "fp", "score", "label", "component_id", "_toxic", "part", "size", "a.b"]
+
+
+def test_stages_keep_columns_of_any_name(spark, tmp_path):
+    """Further columns, whatever they are called, come out of each stage as they went in."""
+    import corpus_pipeline
+    from tests.llm.test_text_ops import docs_of, _labelled
+
+    texts, labels = _labelled(spark, 60)
+    texts += [None, "", "token=0123456789abcdef0123456789 " + texts[1], texts[2], texts[2] + " more"]
+    plain = docs_of(spark, texts)
+    wide = plain.select(*[F.concat(F.lit(f"{name}-"), F.col("doc_id").cast("string")).alias(name) for name in CLASHING[:8]], "*", *[F.concat(F.lit(f"{name}-"), F.col("doc_id").cast("string")).alias(name) for name in CLASHING[8:]])
+    wide.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out, expected = stage(spark, wide, str(tmp_path)), stage(spark, plain, str(tmp_path))
+        assert out.columns == wide.columns, name
+        rows = out.collect()
+        assert sorted(str((r.doc_id, r.text, r.source, r.n_chars)) for r in rows) == sorted(str((r.doc_id, r.text, r.source, r.n_chars)) for r in expected.collect()), name
+        assert all(r[c] == f"{c}-{r.doc_id}" for r in rows for c in CLASHING), name
+    left = corpus_pipeline.run(spark, str(tmp_path))
+    assert left.columns == ["doc_id", "source", "lang", "n_tokens", "ids", "exact"] and left.count()
+
+
+def test_pipeline_of_odd_tables(spark, tmp_path):
+    """Empty tables, and one whose every column is null in some row."""
+    import corpus_pipeline
+    from tests.llm.test_text_ops import DOCS, docs_of
+
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    odd = spark.createDataFrame([(None, None, None, None, None), (None, "a b c", None, None, 5), (1, None, "en", "s", None), (2, "a b c", None, None, None), (2, "a b c", None, None, None)], DOCS)
+    for name, docs in (("empty", docs_of(spark, [])), ("odd", odd)):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        labels.write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        rows = corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect()
+        assert all(r.exact for r in rows)
+        assert {r.doc_id for r in rows} <= {None, 1, 2}
+        assert bool(rows) == (name == "odd")
