@@ -31,8 +31,12 @@ from pyspark.sql import functions as F
 
 # Names of HTML, fixed by the standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript template iframe svg math select option".split())
+RAW = frozenset("script style title textarea noscript template iframe svg select datalist".split())
+# Those that run to the end of the page where nothing closes them.
+TEXT_ONLY = frozenset("script style title textarea".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br".split())
+# Parts of formulas, which belong to the text around them.
+INLINE |= frozenset("math maction annotation annotation-xml menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table tr td th article section main div aside nav body html form blockquote".split())
 
@@ -74,6 +78,7 @@ def blocks_of(html: str | None) -> list[Block]:
     opened: Counter = Counter()
     parts: list[str] = []
     linked, links = 0, 0
+    unclosed: set[str] = set()
     path: tuple[str, ...] = ()
 
     def flush() -> None:
@@ -140,8 +145,12 @@ def blocks_of(html: str | None) -> list[Block]:
         if name in VOID or match[4].endswith("/"):
             continue
         if name in RAW:
-            closing = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
-            at = closing.end() if closing else len(html)
+            # Where nothing closes a name once, nothing does later in the page.
+            closing = None if name in unclosed else re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
+            if closing or name in TEXT_ONLY:
+                at = closing.end() if closing else len(html)
+            else:
+                unclosed.add(name)
             continue
         if name == "a":
             links += 1

@@ -135,6 +135,18 @@ def test_blocks():
     assert [b.text for b in pages.blocks_of("plain < text > only <b")] == ["plain < text > only <b"]
 
 
+def test_unclosed_options_and_formulas_lose_no_text():
+    said = lambda html: [b.text for b in pages.blocks_of(html)]
+    article = "<article><p>all of it</p></article>"
+    assert said(f"<datalist><option value=a><option value=b></datalist>{article}") == ["all of it"]
+    assert said(f"<option value=a>{article}<select><option>x</option></select><p>end") == ["all of it", "end"]
+    assert said(f"<select><option>x<option>y</select>{article}") == ["all of it"]
+    assert said(f"<noscript>{article}") == said(f"<svg>{article}") == ["all of it"]
+    assert said("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p>") == ["so x=1 holds"]
+    assert said(f"<script>var x = 1;{article}") == []
+    assert len(said("<svg>a<p>" * 40_000)) == 40_000
+
+
 def test_deep_nesting_stays_small():
     """Time and memory of broken pages grow with their length, not with its square."""
     deep = "".join(f"<div class='c{i % 5}'>x{i}" for i in range(40_000))
