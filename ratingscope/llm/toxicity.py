@@ -129,7 +129,8 @@ def features(passages: list[tuple[int, int, float, float]]) -> tuple[float, floa
 
 
 def _words(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+    """Words in lower case. Each is lowered by itself, so that they match their places in the text."""
+    return [w.lower() for w in WORD.findall(text or "")]
 
 
 def _count(sample: DataFrame, stems: bool, own: frozenset[str] = frozenset()) -> DataFrame:
@@ -243,8 +244,7 @@ def toxicity(text: Column, model: ToxicModel) -> Column:
                 places = []
                 if strong:
                     spans = [m.span() for m in WORD.finditer(text)]
-                    whole = len(text.lower()) == len(text)
-                    places = [{"start": spans[a][0], "end": spans[b][1], "score": s, "log_e": e} for a, b, s, e in strong] if whole else []
+                    places = [{"start": spans[a][0], "end": spans[b][1], "score": s, "log_e": e} for a, b, s, e in strong]
                 score = 0.0
                 if model.weights:
                     w = model.weights

@@ -93,6 +93,14 @@ def test_toxicity_learns_and_finds_passages(spark):
     assert hit and any("idiot" in r.text[p.start : p.end] for r in hit for p in r.t.passages)
 
 
+def test_passages_of_texts_that_lowering_lengthens(spark):
+    """A capital dotted I becomes two characters in lower case; the passages keep their places."""
+    model = toxicity.ToxicModel(base=0.1, words={"vile": (50, 0), "scum": (50, 0)}, weights=(-3.0, 2.0, 2.0))
+    text = "\u0130stanbul said VILE scum vile scum vile scum then went home"
+    row = spark.createDataFrame([(text,)], "t string").select(toxicity.toxicity(F.col("t"), model).alias("r")).first().r
+    assert row.score > 0.5 and [text[p.start : p.end] for p in row.passages] == ["VILE scum vile scum vile scum"]
+
+
 def test_toxicity_without_labels(spark):
     docs = docs_of(spark, awkward())
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
