@@ -1,10 +1,13 @@
 """Secret scans: fixed patterns plus character Markov models, in SQL functions only.
 
 Two order-1 character models are trained on the corpus itself. The random one learns from
-what the fixed patterns hit (the secret part of it), the ordinary one from long identifiers
-without digits in a bounded sample of documents. A candidate is a run of 12 or more characters
-of ``[A-Za-z0-9+/_=-]`` with both a digit and a letter; the mean log-likelihood ratio of its
-character pairs decides. Runs that overlap a base span are not reported again, so base spans stay as they are.
+what the fixed patterns hit (the secret part of it), the ordinary one from all runs of two or
+more characters outside such hits that recur (RECURS) in a bounded sample of documents, as words,
+names and numbers do and keys do not. Pairs seen seldom lean on how often their second character
+is seen at all. A candidate is any
+run of 12 or more characters of ``[A-Za-z0-9+/_=-]``; the mean log-likelihood ratio of its
+character pairs alone decides. Runs are cut at base spans, which stay as they are; what is left
+of 12 or more characters on either side is a candidate of its own.
 
 A span is the whole match, ``kind:start:end`` in code points, end exclusive. Kinds: ``assign``,
 ``access``, ``hex`` (base) and ``markov`` (added).
@@ -31,12 +34,17 @@ HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "markov")
 
 RUN = "[A-Za-z0-9+/_=-]"
-CANDIDATE = rf"(?<!{RUN})(?={RUN}*[0-9])(?={RUN}*[A-Za-z]){RUN}{{12,}}"
-ORDINARY = rf"(?<!{RUN})[A-Za-z_]{{12,}}(?!{RUN})"
-# Documents whose identifiers train the ordinary model; chosen by a hash of the id.
+LEAST = 12
+CANDIDATE = rf"{RUN}{{{LEAST},}}"
+ORDINARY = rf"{RUN}{{2,}}"
+# Documents whose runs train the ordinary model; chosen by a hash of the id.
 SAMPLE_DOCS = 20_000
 CODES = 128
 SMOOTH = 0.5
+# Pairs that the frequency of single characters counts for.
+PRIOR = 32
+# Times an ordinary run is in the sample at least.
+RECURS = 3
 # Mean log-likelihood ratio of a pair from which a candidate counts as random.
 THRESHOLD = 0.5
 SPAN = "array<struct<start:int,end:int,kind:int>>"
@@ -92,8 +100,9 @@ def pair_table(samples: DataFrame) -> str | None:
 
     The counts are summed in Spark. At most 2 x CODES x CODES numbers reach the driver.
     """
-    counted = samples.select("secret", F.explode(_pairs(F.col("t"))).alias("pair")).groupBy("pair").agg(
-        F.count_if("secret").alias("random"), F.count_if(~F.col("secret")).alias("ordinary")
+    runs = samples.groupBy("secret", "t").agg(F.count(F.lit(1)).alias("n")).where(F.col("secret") | (F.col("n") >= RECURS))
+    counted = runs.select("secret", "n", F.explode(_pairs(F.col("t"))).alias("pair")).groupBy("pair").agg(
+        F.sum(F.when(F.col("secret"), F.col("n")).otherwise(0)).alias("random"), F.sum(F.when(F.col("secret"), 0).otherwise(F.col("n"))).alias("ordinary")
     )
     rows = counted.collect()
     if not any(r["random"] for r in rows) or not any(r["ordinary"] for r in rows):
@@ -102,39 +111,52 @@ def pair_table(samples: DataFrame) -> str | None:
     for r in rows:
         for name in seen:
             seen[name][r["pair"]] = float(r[name])
+    single = {name: [(sum(counts[second::CODES]) + SMOOTH) / (sum(counts) + SMOOTH * 64) for second in range(CODES)] for name, counts in seen.items()}
     ratios = []
     for first in range(CODES):
         row = {name: counts[first * CODES : (first + 1) * CODES] for name, counts in seen.items()}
-        total = {name: sum(counts) + SMOOTH * 64 for name, counts in row.items()}
-        ratios += [
-            math.log((a + SMOOTH) / total["random"]) - math.log((b + SMOOTH) / total["ordinary"])
-            for a, b in zip(row["random"], row["ordinary"])
-        ]
+        total = {name: sum(counts) + PRIOR for name, counts in row.items()}
+        logs = {name: [math.log((n + PRIOR * p) / total[name]) for n, p in zip(row[name], single[name])] for name in row}
+        ratios += [a - b for a, b in zip(logs["random"], logs["ordinary"])]
     return ",".join(f"{x:.4f}" for x in ratios)
 
 
+def _outside(run: Column, spans: Column) -> Column:
+    """The parts of a run outside ``spans`` (sorted by start) that are long enough."""
+    piece = lambda start, end: F.when(end - start >= LEAST, F.array(F.struct(start.alias("start"), end.alias("end"), F.lit(3).alias("kind")))).otherwise(F.array().cast(SPAN))
+    met = F.filter(spans, lambda s: (s["start"] < run["end"]) & (run["start"] < s["end"]))
+    return F.aggregate(
+        met,
+        F.struct(run["start"].alias("at"), F.array().cast(SPAN).alias("out")),
+        lambda s, x: F.struct(F.greatest(s["at"], x["end"]).alias("at"), F.concat(s["out"], piece(s["at"], x["start"])).alias("out")),
+        lambda s: F.concat(s["out"], piece(s["at"], run["end"])),
+    )
+
+
 def scan_secrets(docs: DataFrame, *, threshold: float = THRESHOLD, sample_docs: int = SAMPLE_DOCS, work_dir: str | None = None) -> DataFrame:
     """``doc_id``, ``text_hash`` (xxhash64), ``base`` and ``spans`` (arrays of start, end, kind)
     of every document."""
     share = min(1.0, sample_docs / max(1, docs.count()))
     sampled = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(share * (1 << 30))
     part = lambda s: F.col("text").substr(s["start"] + 1, s["end"] - s["start"])
-    found = F.transform("runs", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), part(s).alias("t")))
-    free = lambda r: ~F.exists("base", lambda s: (s["start"] < r["end"]) & (r["start"] < s["end"]))
+    free = F.flatten(F.transform("runs", lambda r: _outside(r, F.col("base"))))
+    found = F.transform(free, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), part(s).alias("t")))
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("text_hash"))
     rows = rows.withColumns({"base": base_spans(F.col("text")), "runs": _spans(F.col("text"), CANDIDATE, 3)})
     rows = rows.select(
         "doc_id",
         "text_hash",
         "base",
-        F.when(F.size("runs") > 0, F.filter(found, free)).otherwise(F.array().cast("array<struct<start:int,end:int,kind:int,t:string>>")).alias("runs"),
+        F.when(F.size("runs") > 0, found).otherwise(F.array().cast("array<struct<start:int,end:int,kind:int,t:string>>")).alias("runs"),
         F.when(F.size("base") > 0, F.transform("base", part)).otherwise(F.array().cast("array<string>")).alias("hits"),
-        F.when(sampled, F.regexp_extract_all("text", F.lit(ORDINARY), F.lit(0))).alias("plain"),
     )
     rows = materialized(rows, "secrets-rows", work_dir)
     # The secret part of a hit is the run at its end.
     random = rows.select(F.explode("hits").alias("h")).select(F.lit(True).alias("secret"), F.regexp_extract("h", "[A-Za-z0-9+/_-]*$", 0).alias("t"))
-    ordinary = rows.select(F.lit(False).alias("secret"), F.explode("plain").alias("t"))
+    rest = F.coalesce("text", F.lit(""))
+    for pattern in (ASSIGN, ACCESS, HEX):
+        rest = F.regexp_replace(rest, pattern, " ")
+    ordinary = docs.where(sampled).select(F.lit(False).alias("secret"), F.explode(F.regexp_extract_all(rest, F.lit(ORDINARY), F.lit(0))).alias("t"))
     ratios = pair_table(random.unionByName(ordinary))
     nothing = F.array().cast(SPAN)
     if ratios is None:
