@@ -298,22 +298,18 @@ def similar_edges(docs: DataFrame, sets: DataFrame, *, similar: float = SIMILAR,
 
 
 def drop_near_duplicates(docs: DataFrame, *, similar: float = SIMILAR, block: int = BLOCK, work_dir: str | None = None) -> DataFrame:
-    """``docs`` with one row of each component of links: the one with the smallest doc_id.
-
-    Rows that repeat that doc_id are one document, of which one stays. Rows without a doc_id
-    cannot be named by one, so they stay as they are.
+    """``docs`` with one row of each component of links: the one with the smallest doc_id, then
+    text hash; rows without a doc_id come last. Rows that repeat both are one document.
     """
-    named = docs.where(F.col("doc_id").isNotNull())
-    keyed = named.select("doc_id", F.xxhash64("text").alias("text_hash"), _set_keys(F.col("text")).alias("x")).select("doc_id", "text_hash", "x.*")
-    rows = materialized(keyed, "near-rows", work_dir)
-    sets = rows.groupBy("fp").agg(F.min(F.struct("doc_id", "text_hash", "keys")).alias("m")).select("fp", "m.*")
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), _set_keys(F.col("text")).alias("x"))
+    rows = materialized(keyed.select(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "x.*"), "near-rows", work_dir)
+    sets = rows.groupBy("fp").agg(F.min(F.struct("unnamed", "doc_id", "text_hash", "keys")).alias("m")).select("fp", "m.*")
     sets = materialized(sets, "near-prints", work_dir)
-    roots = components(similar_edges(named, sets, similar=similar, block=block, work_dir=work_dir), work_dir)
-    rooted = sets.select("fp", "doc_id").join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root"))
-    keep = rooted.agg(F.min("doc_id").alias("keep_id")).select("keep_id").distinct()
+    roots = components(similar_edges(docs, sets, similar=similar, block=block, work_dir=work_dir), work_dir)
+    rooted = sets.drop("keys").join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root"))
+    keep = rooted.agg(F.min(F.struct("unnamed", "doc_id", "text_hash")).alias("m")).select(F.col("m.doc_id").alias("keep_id"), F.col("m.text_hash").alias("keep_hash"))
     # Packed, so that columns of any name come through.
-    rows = docs.select(F.struct("*").alias("row"))
-    kept = rows.join(keep, F.col("row.doc_id") == F.col("keep_id"), "left_semi")
-    first = Window.partitionBy("row.doc_id").orderBy(F.xxhash64("row"))
-    kept = kept.select("row", F.row_number().over(first).alias("at")).where("at = 1").select("row")
-    return kept.unionByName(rows.where("row.doc_id is null")).select("row.*")
+    rows = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("hash"))
+    kept = rows.join(keep, F.col("row.doc_id").eqNullSafe(F.col("keep_id")) & (F.col("hash") == F.col("keep_hash")), "left_semi")
+    first = Window.partitionBy("row.doc_id", "hash").orderBy(F.xxhash64("row"))
+    return kept.select("row", F.row_number().over(first).alias("at")).where("at = 1").select("row.*")

@@ -363,6 +363,16 @@ def test_one_of_each_group_stays(spark):
     assert simhash.drop_near_duplicates(docs_of(spark, [])).count() == 0
 
 
+def test_repeated_and_missing_ids(spark):
+    """One row of each group stays, though ids repeat over different texts or are missing."""
+    one, two, three = (" ".join(f"{c}{i}" for i in range(200)) for c in "xyz")
+    texts = [(5, one), (5, two), (1, one + " end"), (None, three), (None, three), (None, two + " end"), (None, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in texts], DOCS)
+    kept = [(r.doc_id, r.text) for r in simhash.drop_near_duplicates(docs).collect()]
+    assert sorted(k for k in kept if k[0]) == [(1, one + " end"), (5, two)]
+    assert sorted((t or "") for i, t in kept if i is None) == ["", three]
+
+
 def _jaccard(a, b):
     sets = [{" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (a.split(), b.split())]
     return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
