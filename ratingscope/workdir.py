@@ -19,6 +19,8 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _job: ContextVar[str | None] = ContextVar("ratingscope_job", default=None)
 
 
@@ -55,3 +57,17 @@ def materialized(df: DataFrame, name: str, work_dir: str | None = None) -> DataF
     path = new_path(spark, name, work_dir)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def shuffle_files_freed(spark: SparkSession) -> Iterator[None]:
+    """Inside the block a query's shuffle files go as soon as its result is written.
+
+    For steps whose shuffle is large beside the table they write.
+    """
+    before = spark.conf.get(FREED, None)
+    spark.conf.set(FREED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(FREED) if before is None else spark.conf.set(FREED, before)
