@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, classifier, lines, mixing, pages, samples, secrets, simhash, toxicity, warc
+from . import ann, bpe, classifier, divergence, gnat, lines, mixing, pages, repeats, samples, secrets, simhash, toxicity, warc
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -71,7 +71,21 @@ def op10_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_secrets, op3_ann, op4_lines, op5_bpe, op6_warc, op7_html, op8_simhash, op9_mixing, op10_classifier)}
+def op11_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    codes, books = gnat.compress(_table(spark, folder, "embeddings"))
+    return gnat.with_label_error(codes).select("vec_id", "code", "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
+
+
+def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.source_divergence(_table(spark, folder, "documents"))
+
+
+def op13_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.remove_repeats(_table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_secrets, op3_ann, op4_lines, op5_bpe, op6_warc, op7_html, op8_simhash, op9_mixing, op10_classifier, op11_vectors, op12_divergence, op13_repeats)}
 
 # What SQL can express; the others are tested against brute force in tests/llm.
 ORACLE = {
@@ -84,4 +98,7 @@ SELECT p.page_id, octet_length(b)::BIGINT AS payload_bytes, p.d AS payload_diges
 FROM p LEFT JOIN f ON p.d = f.d
 """,
     "op9_mixing": mixing.SQL,
+    "op11_vectors": gnat.SQL,
+    "op12_divergence": divergence.SQL,
+    "op13_repeats": repeats.SQL,
 }
