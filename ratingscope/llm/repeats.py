@@ -3,8 +3,10 @@
 Every window of WINDOW words gets Rabin-Karp hashes: word hashes times powers of an odd base,
 summed up once along the text, so that a window is the difference of two sums whatever its
 length. The windows of all documents meet by hash in one shuffle, where a window that occurs in
-a document of smaller id is found repeated. A window is told by 64 bits of one hash and 24 of a
-second one with another base.
+a document of smaller id is found repeated. A window is told by 64 bits of one hash and 23 of a
+second one with another base. These, a bit that says "settled" and 40 bits that tell texts of
+one doc_id apart travel as two longs: rows of one text then differ in eleven bytes that lie
+together, and the shuffle's compression takes the rest.
 
 Before the shuffle each block of documents settles what it can: of the windows with one hash
 only that of the smallest id still needs to be compared with other blocks; the others are
@@ -34,9 +36,10 @@ from ..workdir import materialized, shuffle_files_freed
 # Fixed value of the task: words of a window.
 WINDOW = 13
 SEED = 13
-# Odd bases of the two hashes, as random bits; bits of the second that are kept.
+# Odd bases of the two hashes, as random bits.
 BASES = tuple(xxhash.xxh64_intdigest(b"base %d" % i, SEED) | 1 for i in range(2))
-CHECK_BITS = 24
+# Low bits of a tag: whether the window is settled, then the second hash. Above: the text.
+TAG_BITS = 24
 # Windows of a block, and words whose hash a worker remembers.
 BLOCK, MEMO = 500_000, 400_000
 
@@ -77,37 +80,38 @@ class Hasher:
         return self.powers
 
     def windows(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The two hashes of each window, the second one cut to CHECK_BITS."""
+        """The two hashes of each window, the second one as the low bits of a tag."""
         count = len(words) - self.window + 1
         if count <= 0:
-            return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int32)
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         codes = np.fromiter(map(self.hash.__getitem__, words), dtype=np.uint64, count=len(words))
         found = []
         for up, down in self._tables(len(words)):
             sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(codes * up[: len(words)], dtype=np.uint64)])
             found.append((sums[self.window :] - sums[:count]) * down[:count])
-        return found[0], (found[1] >> np.uint64(64 - CHECK_BITS)).astype(np.int32)
+        return found[0].view(np.int64), (found[1] >> np.uint64(65 - TAG_BITS) << np.uint64(1)).view(np.int64)
 
 
-def _settled(ids: list[int], prints: list[int], hashes: list[np.ndarray], checks: list[np.ndarray]) -> pa.RecordBatch:
-    """The windows of a block of documents, each once for a document, settled where it can be."""
+def _settled(ids: list[int], hashes: list[np.ndarray], tags: list[np.ndarray]) -> pa.RecordBatch:
+    """The windows of a block of texts, each once for a text, settled where it can be."""
     order = sorted(range(len(ids)), key=ids.__getitem__)
     owner = np.repeat(order, [len(hashes[i]) for i in order])
-    h, c = np.concatenate([hashes[i] for i in order]), np.concatenate([checks[i] for i in order])
+    h, tag = np.concatenate([hashes[i] for i in order]), np.concatenate([tags[i] for i in order])
     # Stable, so equal windows stand by ascending id.
     at = np.argsort(h, kind="stable")
-    h, c, owner = h[at], c[at], owner[at]
+    h, tag, owner = h[at], tag[at], owner[at]
+    check = tag & ((1 << TAG_BITS) - 1)
     starts = np.ones(len(h), dtype=bool)
-    starts[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
-    names, texts = np.array(ids, dtype=np.int64)[owner], np.array(prints, dtype=np.int64)[owner]
+    starts[1:] = (h[1:] != h[:-1]) | (check[1:] != check[:-1])
+    names = np.array(ids, dtype=np.int64)[owner]
     least = names[np.flatnonzero(starts)[np.cumsum(starts) - 1]]
     once = starts.copy()
     once[1:] |= owner[1:] != owner[:-1]
-    # By document, so that neighbouring rows compress well.
+    # By text, so that neighbouring rows compress well.
     keep = np.flatnonzero(once)
     keep = keep[np.argsort(owner[keep], kind="stable")]
-    columns = [h.view(np.int64)[keep], c[keep], (names > least)[keep], names[keep], texts[keep]]
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["hash", "check", "known", "doc_id", "print"])
+    columns = [h[keep], tag[keep] | (names > least)[keep], names[keep]]
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["hash", "tag", "doc_id"])
 
 
 def _windows(window: int, block: int):
@@ -115,47 +119,54 @@ def _windows(window: int, block: int):
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(window)
-        ids, prints, hashes, checks, held = [], [], [], [], 0
+        ids, hashes, tags, held = [], [], [], 0
         seen: set[tuple[int, int]] = set()
         for batch in batches:
-            for doc_id, name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            for doc_id, text_tag, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 # A row that repeats id and text has the same windows.
-                if (doc_id, name) in seen:
+                if (doc_id, text_tag) in seen:
                     continue
-                h, c = hasher.windows(words_of(text.as_py()))
+                h, check = hasher.windows(words_of(text.as_py()))
                 if len(h):
-                    seen.add((doc_id, name))
+                    seen.add((doc_id, text_tag))
                 # A long text is dealt out over blocks.
                 for at in range(0, len(h), block):
-                    ids.append(doc_id), prints.append(name), hashes.append(h[at : at + block]), checks.append(c[at : at + block])
+                    ids.append(doc_id), hashes.append(h[at : at + block]), tags.append(check[at : at + block] | text_tag)
                     held += len(hashes[-1])
                     if held >= block:
-                        yield _settled(ids, prints, hashes, checks)
-                        ids, prints, hashes, checks, held = [], [], [], [], 0
-                        seen = {(doc_id, name)}
+                        yield _settled(ids, hashes, tags)
+                        ids, hashes, tags, held = [], [], [], 0
+                        seen = {(doc_id, text_tag)}
         if held:
-            yield _settled(ids, prints, hashes, checks)
+            yield _settled(ids, hashes, tags)
 
     return task
 
 
+def _text_tag(text: Column) -> Column:
+    """The bits of a tag that tell a text."""
+    return F.xxhash64(text).bitwiseAND(-1 << TAG_BITS)
+
+
 def repeated_windows(docs: DataFrame, *, window: int = WINDOW, block: int = BLOCK, work_dir: str | None = None) -> DataFrame:
-    """``doc_id, print, hashes``: for each text the windows that a document of smaller id holds.
+    """``doc_id, text_tag, hashes``: for each text the windows that a document of smaller id holds.
 
-    ``print`` is a hash of the text. The list of a text is never longer than the text.
+    ``text_tag`` is a hash of the text. The list of a text is never longer than the text.
     """
     texts = docs.where(F.col("doc_id").isNotNull() & (F.length("text") >= 2 * window - 1))
-    texts = texts.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("print"), F.col("text").cast("string"))
-    found = texts.mapInArrow(_windows(window, block), "hash long, check int, known boolean, doc_id long, print long")
-    # Settled windows travel under a key that is spread by document and gives the hash back.
-    spread = F.when(F.col("known"), F.xxhash64("doc_id", "print")).otherwise(F.lit(0).cast("long"))
-    keyed = found.select(F.col("hash").bitwiseXOR(spread).alias("key"), "check", "known", "doc_id", "print")
-    least = F.min("doc_id").over(Window.partitionBy("key", "check", "known"))
-    repeated = keyed.withColumn("least", least).where(F.col("known") | (F.col("least") < F.col("doc_id")))
-    hashes = repeated.select("doc_id", "print", F.col("key").bitwiseXOR(spread).alias("hash"))
+    texts = texts.select(F.col("doc_id").cast("long"), _text_tag(F.col("text")), F.col("text").cast("string"))
+    found = texts.mapInArrow(_windows(window, block), "hash long, tag long, doc_id long")
+    check, text_tag = F.col("tag").bitwiseAND((1 << TAG_BITS) - 1), F.col("tag").bitwiseAND(-1 << TAG_BITS)
+    # Settled windows travel under a key that is spread by text and gives the hash back.
+    settled = F.col("tag").bitwiseAND(1) == 1
+    spread = F.when(settled, F.xxhash64("doc_id", text_tag)).otherwise(F.lit(0).cast("long"))
+    keyed = found.select(F.col("hash").bitwiseXOR(spread).alias("key"), "tag", "doc_id").repartition("key")
+    least = F.min("doc_id").over(Window.partitionBy("key", check))
+    repeated = keyed.withColumn("least", least).where(settled | (F.col("least") < F.col("doc_id")))
+    hashes = repeated.select("doc_id", text_tag.alias("text_tag"), F.col("key").bitwiseXOR(spread).alias("hash"))
     with shuffle_files_freed(docs.sparkSession):
         hashes = materialized(hashes, "repeats-windows", work_dir)
-    lists = hashes.groupBy("doc_id", "print").agg(F.collect_set("hash").alias("hashes"))
+    lists = hashes.groupBy("doc_id", "text_tag").agg(F.collect_set("hash").alias("hashes"))
     with shuffle_files_freed(docs.sparkSession):
         return materialized(lists, "repeats-lists", work_dir)
 
@@ -180,7 +191,7 @@ def _without(window: int):
                 words, spans, kept = words_of(text.as_py()), [], []
                 if hashes.is_valid:
                     h, _ = hasher.windows(words)
-                    spans = covered(np.flatnonzero(np.isin(h.view(np.int64), hashes.values.to_numpy())), window)
+                    spans = covered(np.flatnonzero(np.isin(h, hashes.values.to_numpy())), window)
                 at = 0
                 for start, end in spans:
                     kept += words[at:start]
@@ -199,9 +210,9 @@ def remove_repeats(docs: DataFrame, *, window: int = WINDOW, block: int = BLOCK,
     words, joined by one space.
     """
     lists = repeated_windows(docs, window=window, block=block, work_dir=work_dir)
-    lists = lists.select(F.col("doc_id").alias("id"), F.col("print").alias("same"), "hashes")
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("print"))
-    joined = rows.join(lists, (F.col("doc_id") == F.col("id")) & (F.col("print") == F.col("same")), "left")
+    lists = lists.select(F.col("doc_id").alias("id"), F.col("text_tag").alias("same"), "hashes")
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), _text_tag(F.col("text")).alias("text_tag"))
+    joined = rows.join(lists, (F.col("doc_id") == F.col("id")) & (F.col("text_tag") == F.col("same")), "left")
     return joined.select("doc_id", _without(window)("text", "hashes").alias("r")).select("doc_id", "r.*")
 
 
