@@ -3,10 +3,11 @@
 Every window of WINDOW words gets Rabin-Karp hashes: word hashes times powers of an odd base,
 summed up once along the text, so that a window is the difference of two sums whatever its
 length. The windows of all documents meet by hash in one shuffle, where a window that occurs in
-a document of smaller id is found repeated. A window is told by 64 bits of one hash and 23 of a
-second one with another base. These, a bit that says "settled" and 40 bits that tell texts of
-one doc_id apart travel as two longs: rows of one text then differ in eleven bytes that lie
-together, and the shuffle's compression takes the rest.
+a document of smaller id is found repeated. A window is told by 64 bits of one hash and 15 of a
+second one with another base, so among 10^13 windows some hundred may be taken for another.
+These, a bit that says "settled" and 48 bits that tell texts of one doc_id apart travel as two
+longs: rows of one text then differ in ten bytes that lie together, and the shuffle's
+compression takes the rest.
 
 Before the shuffle each block of documents settles what it can: of the windows with one hash
 only that of the smallest id still needs to be compared with other blocks; the others are
@@ -39,7 +40,7 @@ SEED = 13
 # Odd bases of the two hashes, as random bits.
 BASES = tuple(xxhash.xxh64_intdigest(b"base %d" % i, SEED) | 1 for i in range(2))
 # Low bits of a tag: whether the window is settled, then the second hash. Above: the text.
-TAG_BITS = 24
+TAG_BITS = 16
 # Windows of a block, and words whose hash a worker remembers.
 BLOCK, MEMO = 500_000, 400_000
 
@@ -164,8 +165,9 @@ def repeated_windows(docs: DataFrame, *, window: int = WINDOW, block: int = BLOC
     least = F.min("doc_id").over(Window.partitionBy("key", check))
     repeated = keyed.withColumn("least", least).where(settled | (F.col("least") < F.col("doc_id")))
     hashes = repeated.select("doc_id", text_tag.alias("text_tag"), F.col("key").bitwiseXOR(spread).alias("hash"))
+    # Sorted, as the table lies beside the large shuffle for a while.
     with shuffle_files_freed(docs.sparkSession):
-        hashes = materialized(hashes, "repeats-windows", work_dir)
+        hashes = materialized(hashes.sortWithinPartitions("doc_id", "text_tag"), "repeats-windows", work_dir)
     lists = hashes.groupBy("doc_id", "text_tag").agg(F.collect_set("hash").alias("hashes"))
     with shuffle_files_freed(docs.sparkSession):
         return materialized(lists, "repeats-lists", work_dir)
