@@ -24,8 +24,8 @@ pairs. An empty table gives no rows. Other columns are not looked at.
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
 from collections.abc import Iterator
-from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
@@ -34,20 +34,22 @@ from pyspark.sql import functions as F
 
 from ..workdir import materialized
 
-# Fixed values of the task: characters between terms, documents of a kept term, the unit and
-# pseudo-count of a share, and ranks of the report by term.
-BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
+# Bytes that are no part of a term become spaces; all those of characters beyond ASCII are.
+TO_TERMS = bytes(b if b > 127 else ord(chr(b).lower()) if chr(b).isalpha() else 32 for b in range(256))
+# Fixed values of the task: documents of a kept term, the unit and pseudo-count of a share, and
+# ranks of the report by term.
 LEAST_DOCS, UNIT, PSEUDO, TOP = 30, 1_000_000_000, 5, 50
 # Groups and terms of a tile, and the side of a leaf. Powers of two.
 ROWS, COLUMNS, LEAF = 64, 2048, 8
 # Leaf pairs compared at a time.
 CHUNK = 256
+# Terms that a worker counts before it hands on its counts.
+HELD = 250_000
 
 
-def terms(text: Column) -> Column:
-    """Terms of a text in order, only A to Z lower-cased."""
-    lower = F.translate(F.coalesce(text.cast("string"), F.lit("")), ascii_uppercase, ascii_lowercase)
-    return F.filter(F.split(lower, BETWEEN), lambda t: t != "")
+def terms(text: str | None) -> list[bytes]:
+    """Terms of a text in order, in UTF-8, only A to Z lower-cased."""
+    return (text or "").encode("utf-8", "surrogatepass").translate(TO_TERMS).split()
 
 
 def share(count: Column | int, total: Column, kept: Column) -> Column:
@@ -145,15 +147,39 @@ def _tile(batches: pa.Table, rows: int) -> pa.Table:
     return pa.table({"lang": pa.array([lang] * n, type=pa.string()), "i": pa.array([i] * n, type=pa.int32()), "j": pa.array([j] * n, type=pa.int32()), "s": s.astype(np.int32), "t": t.astype(np.int32), "value": apart[s, t]})
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task function: occurrences and documents of the terms of each group, added up in the task."""
+    counts: dict[tuple[str, str], tuple[Counter, Counter]] = defaultdict(lambda: (Counter(), Counter()))
+
+    def counted() -> Iterator[pa.RecordBatch]:
+        for (lang, source), (n, docs) in counts.items():
+            columns = [pa.repeat(pa.scalar(x, pa.string()), len(n)) for x in (lang, source)]
+            columns += [pa.array(list(n), type=pa.binary()).cast(pa.string()), pa.array(list(n.values()), type=pa.int64()), pa.array([docs[t] for t in n], type=pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "n", "docs"])
+        counts.clear()
+
+    held = 0
+    for batch in batches:
+        for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            found = terms(text.as_py())
+            if not found:
+                continue
+            n, docs = counts[lang, source]
+            held -= len(n)
+            n.update(found)
+            docs.update(set(found))
+            held += len(n)
+            if held >= HELD:
+                yield from counted()
+                held = 0
+    yield from counted()
+
+
 def _cells(docs: DataFrame) -> DataFrame:
     """Occurrences and documents of each term of each group."""
     named = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")]
-    rows = docs.select(*named, terms(F.col("text")).alias("all"))
-    each = lambda column, first: F.transform(column, lambda t: F.struct(t.alias("term"), F.lit(first).alias("first")))
-    # Each occurrence, and each term of the document once more.
-    marked = rows.select("lang", "source", F.explode(F.concat(each(F.col("all"), 0), each(F.array_distinct("all"), 1))).alias("t"))
-    counted = marked.groupBy("lang", "source", F.col("t.term").alias("term"))
-    return counted.agg((F.count(F.lit(1)) - F.sum("t.first")).alias("n"), F.sum("t.first").alias("docs"))
+    found = docs.select(*named, F.col("text").cast("string").alias("text")).mapInArrow(_counted, "lang string, source string, term string, n long, docs long")
+    return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def source_divergence(docs: DataFrame, *, least_docs: int = LEAST_DOCS, top: int = TOP, rows: int = ROWS, columns: int = COLUMNS, work_dir: str | None = None) -> DataFrame:
