@@ -11,7 +11,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 
 @pytest.mark.skipif(not Path(FOLDER).exists(), reason="driver tables not there")
-@pytest.mark.parametrize("name", ["op6_warc", "op9_mixing"])
+@pytest.mark.parametrize("name", ["op6_warc", "op9_mixing", "op11_vectors", "op12_divergence", "op13_repeats"])
 def test_query_equals_sql(spark, name):
     difference, _ = compare(spark, connect(FOLDER), entry.queries()[name], entry.oracle_sql()[name], FOLDER)
     assert not difference, difference
@@ -19,4 +19,4 @@ def test_query_equals_sql(spark, name):
 
 def test_all_are_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)] and "pipeline" in entry.queries()
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)] and "pipeline" in entry.queries()
