@@ -25,11 +25,13 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Pieces and token pairs that a worker remembers. Of pieces it keeps the last two generations
+# Pieces and token pairs that a worker remembers, within a text too. Of pieces it keeps the last two generations
 # of this many, so frequent ones stay; of pairs it forgets all and goes on.
 MEMO, MEMO_PAIRS = 80_000, 250_000
 # Pieces longer than this are not remembered.
 MEMO_LENGTH = 64
+# Bytes of text whose ids a worker gathers before it hands them on.
+HANDED = 2 << 20
 
 
 class Bpe:
@@ -115,14 +117,15 @@ class Bpe:
     def encode_piece(self, piece: str) -> tuple[int, ...]:
         known = self.older.get(piece) or tuple(self.encode_bytes(piece.encode("utf-8")))
         if len(piece) <= MEMO_LENGTH:
+            if len(self.pieces) >= MEMO:
+                self.older = self.pieces.copy()
+                self.pieces.clear()
             self.pieces[piece] = known
         return known
 
     def encode(self, text: str | None) -> list[int]:
         if not text:
             return []
-        if len(self.pieces) >= MEMO:
-            self.older, self.pieces = self.pieces, {}
         get, make = self.pieces.get, self.encode_piece
         return list(chain.from_iterable([get(p) or make(p) for p in self.split(text)]))
 
@@ -156,21 +159,36 @@ def decode(ids: list[int], tokens: list[bytes]) -> bytes:
     return b"".join(map(tokens.__getitem__, ids))
 
 
+def _encoded(texts: Iterator[pa.Array], bpe: Bpe) -> Iterator[tuple[pa.Array, list[bytes]]]:
+    """Ids and the bytes they decode to, for HANDED bytes of text or so at a time."""
+    for batch in texts:
+        ids, back, held = [], [], 0
+        for text in batch:
+            found = bpe.encode(text.as_py())
+            back.append(decode(found, bpe.bytes_of))
+            ids.append(np.array(found, dtype=np.int32))
+            held += len(back[-1])
+            if held >= HANDED:
+                yield _lists(ids), back
+                ids, back, held = [], [], 0
+        if ids:
+            yield _lists(ids), back
+
+
 def encode_text(text: Column, path: str, pattern: str) -> Column:
     """Token ids, ``array<int>``. ``path`` is a vocabulary installed on every machine."""
 
     @F.arrow_udf("array<int>")
     def ids(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        bpe = load(path, pattern)
-        for batch in texts:
-            yield _lists([bpe.encode(t.as_py()) for t in batch])
+        for found, _ in _encoded(texts, load(path, pattern)):
+            yield found
 
     return ids(text)
 
 
-def _lists(ids: list[list[int]]) -> pa.Array:
-    ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(ends[-1]))))
+def _lists(ids: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
 
 
 def encode_and_decode(text: Column, path: str, pattern: str) -> Column:
@@ -178,11 +196,8 @@ def encode_and_decode(text: Column, path: str, pattern: str) -> Column:
 
     @F.arrow_udf("struct<ids:array<int>,decoded:binary>")
     def both(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        bpe = load(path, pattern)
-        for batch in texts:
-            ids = [bpe.encode(t.as_py()) for t in batch]
-            back = pa.array([decode(x, bpe.bytes_of) for x in ids], type=pa.binary())
-            yield pa.StructArray.from_arrays([_lists(ids), back], names=["ids", "decoded"])
+        for found, back in _encoded(texts, load(path, pattern)):
+            yield pa.StructArray.from_arrays([found, pa.array(back, type=pa.binary())], names=["ids", "decoded"])
 
     return both(text)
 

@@ -11,12 +11,6 @@ fingerprints within r bits share a midpoint, so each lists the points within r /
 (a fixed number, changing only bits its table leaves free), and equal points link, which is
 linear in the bucket and spreads over all tasks.
 
-The stage of the pipeline, :func:`drop_near_duplicates`, links by similarity instead: texts
-whose sets of five-word shingles have a Jaccard similarity of SIMILAR or more. Equal sets are
-folded; TABLES keys of KEY_HASHES min-hashes each bring candidates together (a pair of 0.8 is
-missed by all of them with probability 5e-8), and every link is verified on the whole sets. Tables that bring the same texts together are read once, and the blocks of a large bucket
-meet in pairs, so that no task holds more than BLOCK sets.
-
 Edge cases. Null and empty texts have fingerprint zero and link like any other. Repeated rows
 share a component. A component with no doc_id at all has a null ``component_id``.
 """
@@ -42,12 +36,6 @@ BUCKET = 4096
 # Hashes whose bits are counted at a time.
 CHUNK = 8192
 
-# The pipeline's stage: words in a shingle, least similarity of a link, min-hash tables.
-STAGE_SHINGLE, SIMILAR = 5, 0.8
-TABLES, KEY_HASHES = 32, 4
-# Most shingle sets that one row may hold.
-BLOCK = 1024
-
 
 def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
     """One hash for each run of ``shingle`` words of a text, or of the whole where it has fewer."""
@@ -191,125 +179,18 @@ def simhash_components(docs: DataFrame, *, radius: int = RADIUS, bucket: int = B
     return rows.join(label, "fp").select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def _factors() -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(SEED)
-    draw = lambda: rng.integers(0, 1 << 63, TABLES * KEY_HASHES, dtype=np.uint64) * np.uint64(2)
-    return draw() + np.uint64(1), draw()
-
-
-def table_keys(hashes: np.ndarray) -> list[int]:
-    """One signed key for each of the TABLES, from the min-hashes of a set."""
-    if not len(hashes):
-        return []
-    times, plus = _factors()
-    least = np.full(TABLES * KEY_HASHES, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for at in range(0, len(hashes), CHUNK // 8):
-        np.minimum(least, (hashes[at : at + CHUNK // 8, None] * times + plus).min(axis=0), out=least)
-    return [xxhash.xxh64_intdigest(row.tobytes(), SEED) - (1 << 63) for row in least.reshape(TABLES, KEY_HASHES)]
-
-
-def _set_keys(text: Column) -> Column:
-    """A hash of the set of shingles, and its key in each table."""
-
-    @F.arrow_udf("struct<fp:long,keys:array<long>>")
-    def keyed(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        kind = pa.struct([("fp", pa.int64()), ("keys", pa.list_(pa.int64()))])
-        for batch in texts:
-            sets = (np.unique(shingle_hashes(t.as_py(), STAGE_SHINGLE)) for t in batch)
-            yield pa.array([{"fp": xxhash.xxh64_intdigest(x.tobytes(), SEED) - (1 << 63), "keys": table_keys(x)} for x in sets], type=kind)
-
-    return keyed(text)
-
-
-def _shingle_sets(text: Column) -> Column:
-    @F.arrow_udf("array<long>")
-    def sets(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in texts:
-            yield pa.array([np.unique(shingle_hashes(t.as_py(), STAGE_SHINGLE)).view(np.int64) for t in batch], type=pa.list_(pa.int64()))
-
-    return sets(text)
-
-
-def similar_forest(sets: list[np.ndarray], similar: float = SIMILAR) -> list[tuple[int, int]]:
-    """Edges between places of ``sets`` that connect the same ones as all links do."""
-    sizes = np.array([len(x) for x in sets], dtype=np.int64)
-    names, code = np.unique(np.concatenate(sets), return_inverse=True)
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    order = np.argsort(code, kind="stable")
-    posting, first = owner[order], np.searchsorted(code[order], np.arange(len(names) + 1))
-    begins = np.concatenate([[0], np.cumsum(sizes)])
-    rest = np.ones(len(sets), dtype=bool)
-    edges: list[tuple[int, int]] = []
-    frontier: list[int] = []
-    while rest.any():
-        if not frontier:
-            frontier = [int(np.argmax(rest))]
-            rest[frontier[0]] = False
-            continue
-        at = frontier.pop()
-        mine = code[begins[at] : begins[at + 1]]
-        met = np.concatenate([posting[first[c] : first[c + 1]] for c in mine.tolist()])
-        shared = np.bincount(met, minlength=len(sets))
-        near = np.flatnonzero(rest & (shared >= similar * (sizes + sizes[at] - shared) - 1e-9))
-        edges.extend((at, other) for other in near.tolist())
-        frontier.extend(near.tolist())
-        rest[near] = False
-    return edges
-
-
-def _similar_udf(similar: float):
-    @F.arrow_udf("array<struct<a:long,b:long>>")
-    def forests(groups: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
-        for batch in groups:
-            made = []
-            for group in batch:
-                fps = group.values.field("fp").to_pylist()
-                sets = [x.values.to_numpy() for x in group.values.field("set")]
-                made.append([{"a": fps[a], "b": fps[b]} for a, b in similar_forest(sets, similar)])
-            yield pa.array(made, type=kind)
-
-    return forests
-
-
-def similar_edges(docs: DataFrame, sets: DataFrame, *, similar: float = SIMILAR, block: int = BLOCK, work_dir: str | None = None) -> DataFrame:
-    """Edges (u > v) between set hashes that connect the same sets as all links of ``similar`` do.
-
-    ``sets`` has ``fp``, ``keys`` and the (``doc_id``, ``text_hash``) of one text of each set.
-    """
-    keys = sets.select("fp", F.posexplode("keys").alias("t", "k"))
-    sizes = materialized(keys.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "near-buckets", work_dir)
-    half = block // 2
-    parts = F.when(F.col("n") <= block, 1).otherwise(F.ceil(F.col("n") / half)).cast("int")
-    shared = keys.join(sizes, ["t", "k"]).withColumn("parts", parts)
-    # Part p of a large bucket meets each other part in the block of the two.
-    shared = shared.withColumn("p", F.pmod(F.xxhash64("fp", "t"), F.col("parts")).cast("int"))
-    shared = shared.select("t", "k", "fp", "p", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("q"), "parts").where("parts = 1 or p != q")
-    grouped = shared.groupBy("t", "k", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j")).agg(F.array_sort(F.collect_set("fp")).alias("g"))
-    blocks = materialized(grouped.select("g").where(F.size("g") > 1).distinct().select(F.xxhash64("g").alias("b"), "g"), "near-blocks", work_dir)
-    members = blocks.select("b", F.explode("g").alias("fp"))
-    wanted = sets.join(members.select("fp").distinct(), "fp").select("fp", F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
-    same = F.col("doc_id").eqNullSafe(F.col("id")) & F.col("text_hash").eqNullSafe(F.col("hash"))
-    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).join(wanted, same).select("fp", "text").dropDuplicates(["fp"])
-    whole = materialized(texts.select("fp", _shingle_sets(F.col("text")).alias("set")), "near-sets", work_dir)
-    held = members.join(whole, "fp").groupBy("b").agg(F.collect_list(F.struct("fp", "set")).alias("g"))
-    edges = held.select(F.explode(_similar_udf(similar)("g")).alias("e")).select("e.a", "e.b")
-    return edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-
-
-def drop_near_duplicates(docs: DataFrame, *, similar: float = SIMILAR, block: int = BLOCK, work_dir: str | None = None) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, *, radius: int = RADIUS, bucket: int = BUCKET, work_dir: str | None = None) -> DataFrame:
     """``docs`` with one row of each component of links: the one with the smallest doc_id, then
     text hash; rows without a doc_id come last. Rows that repeat both are one document.
     """
-    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), _set_keys(F.col("text")).alias("x"))
-    rows = materialized(keyed.select(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "x.*"), "near-rows", work_dir)
-    sets = rows.groupBy("fp").agg(F.min(F.struct("unnamed", "doc_id", "text_hash", "keys")).alias("m")).select("fp", "m.*")
-    sets = materialized(sets, "near-prints", work_dir)
-    roots = components(similar_edges(docs, sets, similar=similar, block=block, work_dir=work_dir), work_dir)
-    rooted = sets.drop("keys").join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root"))
-    keep = rooted.agg(F.min(F.struct("unnamed", "doc_id", "text_hash")).alias("m")).select(F.col("m.doc_id").alias("keep_id"), F.col("m.text_hash").alias("keep_hash"))
+    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.xxhash64("text").alias("text_hash"))
+    prints = docs.select(first.alias("m"), fingerprints(F.col("text")).alias("fp")).groupBy("fp").agg(F.min("m").alias("m"))
+    prints = materialized(prints, "near-prints", work_dir)
+    roots = components(link_edges(prints.select("fp"), radius, bucket, work_dir), work_dir)
+    rooted = prints.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root"))
+    keep = rooted.agg(F.min("m").alias("m")).select(F.col("m.doc_id").alias("keep_id"), F.col("m.text_hash").alias("keep_hash"))
     # Packed, so that columns of any name come through.
     rows = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("hash"))
     kept = rows.join(keep, F.col("row.doc_id").eqNullSafe(F.col("keep_id")) & (F.col("hash") == F.col("keep_hash")), "left_semi")
-    first = Window.partitionBy("row.doc_id", "hash").orderBy(F.xxhash64("row"))
-    return kept.select("row", F.row_number().over(first).alias("at")).where("at = 1").select("row.*")
+    one = Window.partitionBy("row.doc_id", "hash").orderBy(F.xxhash64("row"))
+    return kept.select("row", F.row_number().over(one).alias("at")).where("at = 1").select("row.*")

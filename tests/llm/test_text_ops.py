@@ -373,40 +373,26 @@ def test_repeated_and_missing_ids(spark):
     assert sorted((t or "") for i, t in kept if i is None) == ["", three]
 
 
-def _jaccard(a, b):
-    sets = [{" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (a.split(), b.split())]
-    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
-
-
-@pytest.mark.parametrize("block", [1024, 8])
-def test_near_copies_of_similarity(spark, block):
-    """Planted copies of 0.8, 0.9 and 0.95 go, texts below 0.8 stay, whatever the block."""
+@pytest.mark.parametrize("bucket", [4096, 3])
+def test_one_of_each_component_stays(spark, bucket):
+    """The rows that stay are those of the smallest id of each component over all pairs."""
     rng = random.Random(21)
     word = lambda: "".join(rng.choices("abcdefghij", k=6))
-    texts, gone, near = [], set(), Counter()
-    for similar in (0.6, 0.75, 0.8, 0.9, 0.95):
-        for size in (100, 300, 800):
-            for _ in range(8):
-                base = [word() for _ in range(size)]
-                copy, last = list(base), " ".join(base)
-                while True:
-                    copy[rng.randrange(size)] = word()
-                    if _jaccard(" ".join(base), " ".join(copy)) < similar:
-                        break
-                    last = " ".join(copy)
-                if similar < 0.8:
-                    last = " ".join(copy)
-                texts += [" ".join(base), last]
-                if _jaccard(*texts[-2:]) >= 0.8:
-                    gone.add(len(texts) - 1)
-                    near[similar] += 1
-    assert near == {0.8: 24, 0.9: 24, 0.95: 24}
-    base = [word() for _ in range(200)]
-    group = len(texts)
-    for k in range(30):  # each one word from the first
-        texts.append(" ".join([*base[: k * 6], word(), *base[k * 6 + 1 :]]))
-    kept = simhash.drop_near_duplicates(docs_of(spark, texts), block=block)
-    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == [i for i in range(group + 1) if i not in gone]
+    texts = []
+    for size in (60, 300, 2000):
+        for _ in range(6):
+            base = [word() for _ in range(size)]
+            texts += [" ".join(base), " ".join([*base, word()]), " ".join([*base[: size // 2], word(), *base[size // 2 :]])]
+    base = [word() for _ in range(4000)]
+    texts += [" ".join([*base[:k], word(), *base[k + 1 :]]) for k in range(60)]  # one hot group
+    prints = [slow_fingerprint(t) for t in texts]
+    roots = slow_components(prints)
+    lowest = {}
+    for i, p in enumerate(prints):
+        lowest.setdefault(roots[p], i)
+    kept = simhash.drop_near_duplicates(docs_of(spark, texts), bucket=bucket)
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted(lowest.values())
+    assert len(lowest) < len(texts) - 60
 
 
 # -- mixing ---------------------------------------------------------------------
