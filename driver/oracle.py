@@ -291,20 +291,20 @@ classes AS (
   SELECT DISTINCT imdb_id, {_quadrant('rt_tomatometer_rating', 'rt_audience_rating', '60')} AS category FROM abt
   WHERE rt_tomatometer_rating IS NOT NULL AND rt_audience_rating IS NOT NULL),
 reviews AS (
-  SELECT 'tt' || {_PAD.format("((doc_id + 1) * 1013)::VARCHAR")} AS imdb_id, CASE WHEN lang = 'en' THEN text END AS text
+  SELECT 'tt' || {_PAD.format("((doc_id + 1) * 1013)::VARCHAR")} AS imdb_id, CASE WHEN lang = 'en' THEN 'c' WHEN lang <> 'en' THEN 'u' END AS side, text
   FROM documents),
 merged AS (SELECT category FROM reviews LEFT JOIN classes USING (imdb_id)),
-words AS (SELECT category, unnest({_words('text', ENGLISH)}) AS word FROM reviews JOIN classes USING (imdb_id)),
-counts AS (SELECT category, word, count(*) AS n FROM words GROUP BY ALL),
+words AS (SELECT side, category, unnest({_words('text', ENGLISH)}) AS word FROM reviews JOIN classes USING (imdb_id) WHERE side IS NOT NULL),
+counts AS (SELECT side, category, word, count(*) AS n FROM words GROUP BY ALL),
 top AS (
   SELECT * FROM counts WHERE word NOT IN ({_in_list(LIST_WORDS)})
-  QUALIFY row_number() OVER (PARTITION BY category ORDER BY n DESC, word) <= 100),
+  QUALIFY row_number() OVER (PARTITION BY side, category ORDER BY n DESC, word) <= 100),
 named AS (SELECT unnest([{_in_list(CLASSES)}]) AS category),
 sides AS (SELECT unnest(['c', 'u']) AS side)
-SELECT 'top' AS kind, 'c' AS side, category, word, n FROM top
+SELECT 'top' AS kind, side, category, word, n FROM top
 UNION ALL
 SELECT 'total', side, category, NULL, coalesce(sum(n), 0)::BIGINT
-FROM named JOIN sides ON true LEFT JOIN (SELECT 'c' AS side, category, n FROM counts) USING (side, category) GROUP BY side, category
+FROM named JOIN sides ON true LEFT JOIN counts USING (side, category) GROUP BY side, category
 UNION ALL SELECT 'report', NULL, 'files', NULL, {CHAIN_FILES}
 UNION ALL SELECT 'report', NULL, 'total', NULL, (SELECT count(*) FROM reviews)
 UNION ALL SELECT 'report', NULL, 'matched', NULL, count(category) FROM merged
@@ -378,7 +378,9 @@ SELECT (SELECT count(*) FROM documents) AS total, count(category) AS matched,
     "q_attached_category": f"""WITH {_LABELS}
 SELECT doc_id, source, length(text)::INTEGER AS n, category FROM documents LEFT JOIN labelled USING (doc_id)""",
     "q_outcomes": f"SELECT outcome, count(*) AS n FROM ({_OUTCOMES}) GROUP BY outcome",
-    "q_outcome_rows": _OUTCOMES,
+    "q_outcome_rows": f"""SELECT *, count(*) FILTER (outcome = 'success') OVER w AS n_success,
+  count(*) FILTER (outcome = 'wrong_url') OVER w AS n_wrong_url, count(*) FILTER (outcome = 'no_reviews') OVER w AS n_no_reviews
+FROM ({_OUTCOMES}) WINDOW w AS (ORDER BY event_id ROWS UNBOUNDED PRECEDING)""",
     "q_word_freq": _WORD_FREQ,
     "q_word_freq_paired": _PAIRED,
     "q_stopword_anti": f"WITH {_COUNTS} SELECT * FROM counts WHERE word NOT IN ({_in_list(LIST_WORDS)})",
@@ -412,6 +414,8 @@ SELECT title, imdb_id, clean, CASE WHEN clean THEN {_URL.format("lower(replace(t
 slugs AS (SELECT *, {_SLUG.format('title')} AS slug FROM titles)
 SELECT title, imdb_id, {_URL.format('slug')} AS url,
   ((row_number() OVER (ORDER BY imdb_id, title) - 1) // 1200 + 1)::INTEGER AS part FROM slugs""",
+    "q_batches_input_order": """SELECT o_orderkey, o_custkey, ((row_number() OVER (ORDER BY o_orderkey) - 1) // 1200 + 1)::INTEGER AS part
+FROM orders""",
     "q_batches": _BATCHES,
     "q_extract_class": """WITH ads AS (
   SELECT page_id, list_transform(regexp_extract_all(html, '<div class="ad">(.*?)</div>', 1, 's'),

@@ -384,7 +384,8 @@ def _outcome_rows(spark, sf):
 
 
 def outcome_rows(spark, sf):
-    return _outcome_rows(spark, sf).select("event_id", "outcome")
+    """Each fetch with the three counters of the log up to it."""
+    return op.running_totals(_outcome_rows(spark, sf).select("event_id", "outcome"), ["event_id"])
 
 
 # -- words --------------------------------------------------------------------
@@ -499,6 +500,12 @@ def urls(spark, sf):
     return review_urls(titles)
 
 
+def batches_input_order(spark, sf):
+    """Batches of a file's rows as they stand in it."""
+    numbered = op.input_order_batches(spark, f"{sf}/orders.parquet")
+    return numbered.select("o_orderkey", "o_custkey", "part")
+
+
 def batches(spark, sf):
     orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey")
     return op.assign_batches(orders, ["o_custkey", "o_orderkey"])
@@ -605,7 +612,7 @@ def roundtrip_parquet(spark, sf):
 def roundtrip_multiline(spark, sf):
     path = new_path(spark, "multiline")
     write_quoted_csv(table(spark, sf, "documents").select("doc_id", "lang", "text"), path)
-    df = read_csv(spark, path, multiline=True, columns=["doc_id", "text"])
+    df = read_csv(spark, path, multiline=True, parallel=True, columns=["doc_id", "text"])
     return df.select(rf.lenient_long(F.col("doc_id")).alias("doc_id"), "text")
 
 
@@ -758,7 +765,7 @@ def chain(spark, sf):
         F.concat(F.lit("tt"), F.when(F.length(code) >= 7, code).otherwise(F.lpad(code, 7, "0"))).alias("imdb_id"),
         F.col("source").alias("title"),
         F.when(F.col("lang") == "en", F.col("text")).alias("reviews_c"),
-        F.lit(None).cast("string").alias("reviews_u"),
+        F.when(F.col("lang") != "en", F.col("text")).alias("reviews_u"),
     )
     write_quoted_csv(reviews.repartition(CHAIN_FILES), f"{folder}/reviews")
     reviews = read_csv(spark, f"{folder}/reviews", multiline=True)
@@ -832,6 +839,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_route": route,
     "q_urls": urls,
     "q_batches": batches,
+    "q_batches_input_order": batches_input_order,
     "q_extract_class": extract_class,
     "q_extract_inner": extract_inner,
     "q_credits": credits,

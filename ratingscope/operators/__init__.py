@@ -1,4 +1,4 @@
-from .batches import assign_batches
+from .batches import assign_batches, input_order_batches, running_counts
 from .classify import (
     classify_ratings,
     classify_with_clusters,
@@ -7,7 +7,7 @@ from .classify import (
     fit_classes,
     rating_quadrant,
 )
-from .crawl import extract_class_text, fetch_outcomes, fetch_totals, pending
+from .crawl import extract_class_text, fetch_outcomes, fetch_totals, pending, running_totals
 from .dedupe import first_rows, keep_one
 from .joins import band_join, hot_keys, hot_keys_if_any, or_join, salted_join
 from .match import fuzzy_match
@@ -28,7 +28,7 @@ from .words import (
 __all__ = [
     "assign_batches", "avg_tfidf", "band_join", "classify_ratings", "classify_with_clusters", "cluster_table", "count_words", "drop_stop_words",
     "drop_tagged_words", "extract_class_text", "feature_stats", "fetch_outcomes",
-    "fetch_totals", "file_report", "first_rows", "fit_classes", "fuzzy_match", "hot_keys", "hot_keys_if_any", "keep_one",
+    "fetch_totals", "file_report", "first_rows", "fit_classes", "fuzzy_match", "hot_keys", "hot_keys_if_any", "input_order_batches", "keep_one",
     "match_report", "or_join", "pending", "rating_quadrant", "removed_sample", "removed_words",
-    "review_aggregates", "salted_join", "stop_word_report", "top_words", "with_totals", "word_frequency", "word_totals",
+    "review_aggregates", "running_counts", "running_totals", "salted_join", "stop_word_report", "top_words", "with_totals", "word_frequency", "word_totals",
 ]

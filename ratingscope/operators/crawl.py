@@ -9,11 +9,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .batches import running_counts
+
 # Page classes that hold review text.
 CRITIC_CLASS = "review-text"
 AUDIENCE_CONTAINER = "review-text-container"
 AUDIENCE_CLASS = "audience-reviews__review"
 
+# Names of the outcomes.
+OUTCOMES = ("success", "wrong_url", "no_reviews")
+
 # HTML elements without an end tag, and those whose text is not shown.
 _VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
@@ -34,6 +39,12 @@ def fetch_totals(outcomes: DataFrame) -> DataFrame:
     return outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
+def running_totals(outcomes: DataFrame, order: list[str | Column], work_dir: str | None = None) -> DataFrame:
+    """Each fetch with the counters of the log up to it: ``n_success``, ``n_wrong_url``, ``n_no_reviews``."""
+    counters = {f"n_{name}": F.col("outcome") == name for name in OUTCOMES}
+    return running_counts(outcomes, order, counters, work_dir)
+
+
 def pending(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Work not yet in the log of finished rows."""
     return todo.join(done.select(key), key, "left_anti")

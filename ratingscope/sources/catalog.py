@@ -65,7 +65,8 @@ class Catalog:
     def table(self, name: str) -> DataFrame:
         path = self.path(name)
         sep = "\t" if path.endswith(".tsv") else ","
-        return read_csv(self.spark, path, sep=sep, multiline=name in self._multiline)
+        broken = name in self._multiline
+        return read_csv(self.spark, path, sep=sep, multiline=broken, parallel=broken)
 
     def register(self, *names: str) -> None:
         """Temporary views for the named tables, or for all of them."""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import strip
+from .records import read_records
 
 
 def read_csv(
@@ -19,17 +20,24 @@ def read_csv(
     multiline: bool = False,
     escape: str = '"',
     columns: Sequence[str] | None = None,
+    parallel: bool = False,
 ) -> DataFrame:
     """CSV or TSV with a header: one file, a directory, a glob or a list of them.
 
     Quotes inside quoted fields are doubled, as the writers of this package write them;
     ``escape`` names another mark (a backslash, say). ``multiline=True`` also reads line
-    breaks inside fields. Such a file is one task, so keep many files rather than one big
-    one. A file whose header differs from the first one's is an error, not a shift.
+    breaks inside fields. Such a file is one task; with ``parallel=True`` it is cut into records
+    by many (see :mod:`.records`; doubled quotes only, and without file metadata). A file whose
+    header differs from the first one's is an error, not a shift.
     """
+    if parallel and (not multiline or escape != '"'):
+        raise ValueError("parallel is for multiline files with doubled quotes")
     reader = spark.read.option("header", True).option("sep", sep).option("encoding", "UTF-8")
     reader = reader.option("quote", '"').option("escape", escape).option("multiLine", multiline)
     df = reader.csv(path)
+    if parallel:
+        df = read_records(spark, path, df.columns, sep)
+        return df if columns is None else require_columns(df, columns).select(*columns)
     # With the schema given, every file's header is held against it.
     df = reader.schema(df.schema).option("enforceSchema", False).csv(path)
     if columns is not None:
