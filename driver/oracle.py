@@ -139,7 +139,7 @@ FROM orders"""
 _JOBS = ["Director", "Writer/Producer", "Executive Producer", "Screenplay", "Editor"]
 
 
-def _credits(fallback: bool) -> str:
+def _credits(fallback: bool, whole: int = 7, method: str = "eval") -> str:
     quote, its = ("", "") if fallback else ("''", "It''s ")
     actors = []
     for i in range(7):
@@ -149,8 +149,7 @@ def _credits(fallback: bool) -> str:
         actors.append(
             f"{{'ord': (o_orderkey * 7 + {i * 3}) % 11, 'name': 'Actor O{quote}{i} ' || o_orderpriority, 'played': {character}}}"
         )
-    if fallback:
-        actors = actors[:6]
+    actors = actors[: 6 if fallback else whole]
     space = " " if fallback else ""
 
     def person(i: int, pad: str) -> str:
@@ -168,7 +167,7 @@ SELECT o_orderkey::INTEGER AS tmdb_id,
   {people([1, 3])} AS writer_names,
   {people([1, 2] if fallback else [2])} AS producer_names,
   5 AS cast_count, true AS has_cast, true AS has_director, true AS has_writer, true AS has_producer,
-  '{"regex" if fallback else "eval"}' AS extract_method
+  '{"regex" if fallback else method}' AS extract_method
 FROM actors"""
 
 
@@ -305,7 +304,7 @@ SELECT 'top' AS kind, side, category, word, n FROM top
 UNION ALL
 SELECT 'total', side, category, NULL, coalesce(sum(n), 0)::BIGINT
 FROM named JOIN sides ON true LEFT JOIN counts USING (side, category) GROUP BY side, category
-UNION ALL SELECT 'report', NULL, 'files', NULL, {CHAIN_FILES}
+UNION ALL SELECT 'report', NULL, 'files', NULL, {CHAIN_FILES + 1}
 UNION ALL SELECT 'report', NULL, 'total', NULL, (SELECT count(*) FROM reviews)
 UNION ALL SELECT 'report', NULL, 'matched', NULL, count(category) FROM merged
 UNION ALL SELECT 'report', NULL, 'unmatched', NULL, count(*) - count(category) FROM merged"""
@@ -428,11 +427,13 @@ kept AS (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN [] ELSE found END AS tex
 SELECT page_id, len(texts)::INTEGER AS n, array_to_string(texts, '|') AS text FROM kept""",
     "q_credits": _credits(fallback=False),
     "q_credits_fallback": _credits(fallback=True),
+    "q_credits_recovered": _credits(fallback=False, whole=6, method="objects"),
     "q_roundtrip_csv": r"""SELECT c_custkey, c_name, 'Say "' || c_name || '", then \ or \"go\"' AS quoted,
   round(c_acctbal, 6) AS c_acctbal, c_mktsegment FROM customer""",
     "q_roundtrip_tsv": "SELECT event_id, event_type, props FROM events",
     "q_roundtrip_parquet": "SELECT p_partkey, p_name, p_size FROM part",
     "q_roundtrip_multiline": "SELECT doc_id, text FROM documents",
+    "q_roundtrip_one_csv": "SELECT doc_id, lang, text, 1::BIGINT AS files FROM documents",
     "q_roundtrip_words": _WORD_FREQ,
     "q_roundtrip_batches": rf"""SELECT part, count(*) AS n, max('"' || o_orderkey || '", a \ b') AS title,
   min(o_custkey) AS first_customer FROM ({_BATCHES}) GROUP BY part""",

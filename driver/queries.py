@@ -29,6 +29,7 @@ from ratingscope.sources import (
     small_table,
     write_batches,
     write_csv,
+    write_one_csv,
     write_parquet,
     write_quoted_csv,
     write_word_counts,
@@ -583,6 +584,15 @@ def credits_fallback(spark, sf):
     return _credit_columns(clean_credits(texts))
 
 
+def credits_recovered(spark, sf):
+    """Texts cut off inside their last object: all objects before it are found."""
+    from ratingscope.plans.abt import clean_credits
+
+    key = F.col("id").cast("int")
+    cut = lambda c, most: F.left(c, F.length(c) - 2 - key % most).alias(c)
+    return _credit_columns(clean_credits(_credit_texts(spark, sf).select("id", cut("cast", 50), cut("crew", 20)), "recover"))
+
+
 # -- files --------------------------------------------------------------------
 
 
@@ -616,6 +626,15 @@ def roundtrip_multiline(spark, sf):
     return df.select(rf.lenient_long(F.col("doc_id")).alias("doc_id"), "text")
 
 
+def roundtrip_one_csv(spark, sf):
+    """One file, read again."""
+    path = new_path(spark, "one") + ".csv"
+    write_one_csv(table(spark, sf, "documents").select("doc_id", "lang", "text").repartition(5), path)
+    df = read_csv(spark, path, multiline=True, parallel=True)
+    files = op.listed_files(spark, path).first()["files"]
+    return df.select(rf.lenient_long(F.col("doc_id")).alias("doc_id"), "lang", "text", F.lit(files).alias("files"))
+
+
 def roundtrip_words(spark, sf):
     path = new_path(spark, "words")
     write_word_counts(word_freq(spark, sf), path)
@@ -768,8 +787,11 @@ def chain(spark, sf):
         F.when(F.col("lang") != "en", F.col("text")).alias("reviews_u"),
     )
     write_quoted_csv(reviews.repartition(CHAIN_FILES), f"{folder}/reviews")
+    # A crawl that found nothing leaves an empty file, which counts as well.
+    nothing = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/reviews/nothing.csv")
+    nothing.getFileSystem(spark._jsc.hadoopConfiguration()).create(nothing).close()
     reviews = read_csv(spark, f"{folder}/reviews", multiline=True)
-    report = attach_category(reviews, classes, files=True)[1]
+    report = attach_category(reviews, classes, files=f"{folder}/reviews")[1]
 
     write_word_counts(category_words(reviews, classes), f"{folder}/words", CLASSES)
     counts = read_csv(spark, f"{folder}/words").withColumn("word_occurrences", rf.lenient_long(F.col("word_occurrences")))
@@ -844,10 +866,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_extract_inner": extract_inner,
     "q_credits": credits,
     "q_credits_fallback": credits_fallback,
+    "q_credits_recovered": credits_recovered,
     "q_roundtrip_csv": roundtrip_csv,
     "q_roundtrip_tsv": roundtrip_tsv,
     "q_roundtrip_parquet": roundtrip_parquet,
     "q_roundtrip_multiline": roundtrip_multiline,
+    "q_roundtrip_one_csv": roundtrip_one_csv,
     "q_roundtrip_words": roundtrip_words,
     "q_roundtrip_batches": roundtrip_batches,
     "q_word_list": word_list,

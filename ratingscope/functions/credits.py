@@ -2,6 +2,11 @@
 
 The text is turned into JSON and parsed by Spark. Text that will not parse
 falls back to patterns. Cast and crew fall back separately.
+
+Patterns find names and characters apart, so these shift against each other where one
+is missing. ``mode="recover"`` cuts damaged text into its objects first, ``{..}`` with
+balanced braces outside quotes, and parses each: a truncated text gives all its whole
+objects. Patterns are left for text without any.
 """
 
 from __future__ import annotations
@@ -29,6 +34,11 @@ _JSON_OPTIONS = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacte
 
 _QUOTED = r"'[^'\\]*+(?:\\.[^'\\]*+)*+'|\"[^\"\\]*+(?:\\.[^\"\\]*+)*+\""
 
+# A whole object: quoted text, objects of one level inside, anything else but braces and quotes.
+# Text ends where a mark follows, so that a stray quote spoils its own object alone.
+_ITEM = rf"(?:[^{{}}'\"]++|(?:{_QUOTED})(?=\s*+[:,}}\]]))"
+OBJECT_PATTERN = rf"(?s)\{{(?:{_ITEM}|\{{{_ITEM}*+\}})*+\}}"
+
 
 def literal_to_json(c: Column) -> Column:
     """Python list text as lenient JSON: constants and ``\\x`` escapes rewritten.
@@ -114,6 +124,15 @@ def _parsed(c: Column, type_name: str, mode: str) -> Column:
     return F.from_json(literal_to_json(c), type_name, _JSON_OPTIONS)
 
 
+def _objects(c: Column, type_name: str) -> Column:
+    """The whole objects of a text that parse, or null if there are none."""
+    one = type_name.removeprefix("array<").removesuffix(">")
+    found = F.regexp_extract_all(c, F.lit(OBJECT_PATTERN), 0)
+    parsed = F.transform(found, lambda o: F.from_json(literal_to_json(o), one, _JSON_OPTIONS))
+    whole = F.filter(parsed, lambda x: x.isNotNull() & x["name"].isNotNull())
+    return F.when(F.size(whole) > 0, whole)
+
+
 def _workers(parsed: Column) -> Column:
     """Named crew with stripped name and one letter for the job; others are left out."""
     job = lambda x: F.lower(F.coalesce(x["job"], F.lit("")))
@@ -128,10 +147,11 @@ def parse_credits(df: DataFrame, cast: str = "cast", crew: str = "crew", mode: s
     """``df`` with the first five actors, directors, writers, producers and the method.
 
     A job that names writing wins over producing; the patterns are not exclusive.
-    ``mode="regex"`` uses the patterns for every text that is not blank. Each text is
+    ``mode="regex"`` uses the patterns for every text that is not blank; ``mode="recover"``
+    takes the whole objects of damaged text, with the method ``objects``. Each text is
     parsed in one projection and read in the next, so it is parsed once.
     """
-    if mode not in ("auto", "regex"):
+    if mode not in ("auto", "regex", "recover"):
         raise ValueError(f"unknown mode {mode!r}")
     parsed = df.withColumns(
         {
@@ -142,6 +162,20 @@ def parse_credits(df: DataFrame, cast: str = "cast", crew: str = "crew", mode: s
         }
     )
 
+    recovered = F.lit(False)
+    if mode == "recover":
+        damaged = {c: F.col(f"_{p}").isNull() & ~F.col(f"_no_{p}") for p, c in (("cast", cast), ("crew", crew))}
+        parsed = parsed.withColumns(
+            {
+                "_whole_cast": F.when(damaged[cast], _objects(F.col(cast), _CAST_TYPE)),
+                "_whole_crew": F.when(damaged[crew], _objects(F.col(crew), _CREW_TYPE)),
+            }
+        )
+        recovered = F.col("_whole_cast").isNotNull() | F.col("_whole_crew").isNotNull()
+        parsed = parsed.withColumns(
+            {"_recovered": recovered, "_cast": F.coalesce("_cast", "_whole_cast"), "_crew": F.coalesce("_crew", "_whole_crew")}
+        )
+        recovered = F.col("_recovered")
     parsed = parsed.withColumn("_workers", _workers(F.col("_crew")))
 
     def people(kind: str, pattern: str) -> Column:
@@ -164,7 +198,7 @@ def parse_credits(df: DataFrame, cast: str = "cast", crew: str = "crew", mode: s
             "extract_method": F.when(
                 (F.col("_no_cast") | F.col("_cast").isNotNull())
                 & (F.col("_no_crew") | F.col("_crew").isNotNull()),
-                "eval",
+                F.when(recovered, "objects").otherwise("eval"),
             ).otherwise("regex"),
         }
     )
@@ -173,4 +207,4 @@ def parse_credits(df: DataFrame, cast: str = "cast", crew: str = "crew", mode: s
             "main_cast_names": F.transform("_actors", lambda x: x["name"]),
             "main_cast_characters": F.transform("_actors", lambda x: x["character"]),
         }
-    ).drop("_cast", "_crew", "_workers", "_no_cast", "_no_crew", "_actors")
+    ).drop("_cast", "_crew", "_workers", "_no_cast", "_no_crew", "_actors", "_whole_cast", "_whole_crew", "_recovered")

@@ -11,7 +11,7 @@ from .crawl import extract_class_text, fetch_outcomes, fetch_totals, pending, ru
 from .dedupe import first_rows, keep_one
 from .joins import band_join, hot_keys, hot_keys_if_any, or_join, salted_join
 from .match import fuzzy_match
-from .reports import file_report, match_report, review_aggregates, stop_word_report
+from .reports import file_report, listed_files, match_report, review_aggregates, stop_word_report
 from .words import (
     avg_tfidf,
     count_words,
@@ -29,6 +29,6 @@ __all__ = [
     "assign_batches", "avg_tfidf", "band_join", "classify_ratings", "classify_with_clusters", "cluster_table", "count_words", "drop_stop_words",
     "drop_tagged_words", "extract_class_text", "feature_stats", "fetch_outcomes",
     "fetch_totals", "file_report", "first_rows", "fit_classes", "fuzzy_match", "hot_keys", "hot_keys_if_any", "input_order_batches", "keep_one",
-    "match_report", "or_join", "pending", "rating_quadrant", "removed_sample", "removed_words",
+    "listed_files", "match_report", "or_join", "pending", "rating_quadrant", "removed_sample", "removed_words",
     "review_aggregates", "running_counts", "running_totals", "salted_join", "stop_word_report", "top_words", "with_totals", "word_frequency", "word_totals",
 ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import is_positive, resolve_columns
@@ -28,11 +28,15 @@ def review_aggregates(reviews: DataFrame) -> DataFrame:
     )
 
 
-def match_report(rows: DataFrame, merged: DataFrame, matched: str, files: bool = False) -> DataFrame:
+def match_report(rows: DataFrame, merged: DataFrame, matched: str, files: bool | str | list[str] = False) -> DataFrame:
     """One row: ``total`` rows before the join; ``matched``, ``unmatched`` after it.
 
-    ``files`` adds the number of files that hold rows, for a table read straight from files.
+    ``files=True`` adds the number of files that hold rows, for a table read straight from files.
+    A path or a list of paths adds the number of files there, empty ones included.
     """
+    if not isinstance(files, bool):
+        both = match_report(rows, merged, matched).unionByName(listed_files(rows.sparkSession, files), allowMissingColumns=True)
+        return both.agg(*[F.max(c).alias(c) for c in ("total", "matched", "unmatched", "files")])
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     from_file = F.col("_metadata.file_path") if files else F.lit(None).cast("string")
     before = rows.select(one.alias("total"), zero.alias("matched"), zero.alias("unmatched"), from_file.alias("_file"))
@@ -51,6 +55,16 @@ def file_report(rows: DataFrame) -> DataFrame:
     )
 
 
+def listed_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """One row: ``files`` at a path, whatever they hold.
+
+    They come from the list of names that any scan makes. No file is opened, and empty ones,
+    which scans leave out, count.
+    """
+    names = spark.read.format("binaryFile").load(path).inputFiles()
+    return spark.range(1).select(F.lit(len(names)).cast("long").alias("files"))
+
+
 def stop_word_report(
     counts: DataFrame, stop_words: DataFrame, by: list[str], word: str = "word"
 ) -> DataFrame:

@@ -15,12 +15,13 @@ def attach_category(
     key: str = "imdb_id",
     category: str = "category",
     required: tuple[str, ...] = ("title",),
-    files: bool = False,
+    files: bool | str | list[str] = False,
 ) -> tuple[DataFrame, DataFrame]:
     """All review rows with ``category`` where the movie has one, and the match report.
 
     The category list is not de-duplicated: a movie listed twice doubles its rows.
-    ``files`` adds the number of files that hold reviews to the report.
+    ``files`` adds the number of files that hold reviews to the report, or with a path the
+    number of all files there.
     """
     require_columns(reviews, [*required, key])
     merged = reviews.join(categories.select(key, category), key, "left")

@@ -4,6 +4,7 @@ from .writers import (
     preview,
     write_batches,
     write_csv,
+    write_one_csv,
     write_parquet,
     write_quoted_csv,
     write_word_counts,
@@ -11,6 +12,6 @@ from .writers import (
 
 __all__ = [
     "Catalog", "empty", "preview", "read_csv", "read_parquet", "read_word_list",
-    "require_columns", "small_table", "write_batches", "write_csv", "write_parquet",
+    "require_columns", "small_table", "write_batches", "write_csv", "write_one_csv", "write_parquet",
     "write_quoted_csv", "write_word_counts",
 ]

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ratingscope import workdir
+from ratingscope.operators import listed_files, match_report
 from ratingscope.sources import (
     Catalog,
     empty,
@@ -13,6 +14,7 @@ from ratingscope.sources import (
     small_table,
     write_batches,
     write_csv,
+    write_one_csv,
     write_parquet,
     write_quoted_csv,
     write_word_counts,
@@ -178,3 +180,28 @@ def test_a_file_without_line_breaks_is_split(spark, tmp_path):
 def test_word_list_is_freed_of_all_white_space(spark, tmp_path):
     (tmp_path / "w.txt").write_text("the,\tAnd , of\u00a0,,the")
     assert sorted(r.word for r in read_word_list(spark, f"{tmp_path}/w.txt").collect()) == ["and", "of", "the"]
+
+
+@pytest.mark.parametrize("rows", [0, 1, 500])
+def test_one_file_with_one_header(spark, tmp_path, rows):
+    """Written by several tasks, in their order; what was there is replaced; no parts stay."""
+    df = spark.range(rows, numPartitions=4).selectExpr("id", """concat('a "', id, '"\n, b') as `te"xt`""")
+    for _ in range(2):
+        write_one_csv(df, f"{tmp_path}/one.csv")
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["one.csv"]
+    text = (tmp_path / "one.csv").read_text()
+    assert text.startswith('"id","te""xt"\n') and text.count("te\"\"xt") == 1
+    back = read_csv(spark, f"{tmp_path}/one.csv", multiline=True)
+    assert [tuple(r) for r in back.collect()] == [(str(i), f'a "{i}"\n, b') for i in range(rows)]
+
+
+def test_files_are_counted_by_listing(spark, tmp_path):
+    write_csv(spark.range(10, numPartitions=3).toDF("id"), f"{tmp_path}/x")
+    for name, text in (("empty.csv", ""), ("header.csv", "id\n")):
+        (tmp_path / "x" / name).write_text(text)
+    (tmp_path / "none").mkdir()
+    assert listed_files(spark, f"{tmp_path}/x").first().files == 5
+    assert listed_files(spark, f"{tmp_path}/none").first().files == 0
+    rows = read_csv(spark, f"{tmp_path}/x")
+    report = match_report(rows, rows.withColumn("hit", F.lit(1)), "hit", files=f"{tmp_path}/x").first()
+    assert report.asDict() == {"total": 10, "matched": 10, "unmatched": 0, "files": 5}
