@@ -18,6 +18,9 @@ CLUSTERS = 4
 SEED = 42
 HIGH = 60.0
 
+# Pieces that the points are dealt into for k-means, and points of a piece beyond these.
+PIECES, PIECE_POINTS = 16, 100_000
+
 CRITIC = "rt_tomatometer_rating"
 AUDIENCE = "rt_audience_rating"
 
@@ -50,10 +53,11 @@ def _weighted_stats(points: DataFrame, columns: Sequence[str]) -> tuple[list[flo
     """Mean and sample standard deviation of the rows that the weighted points stand for.
 
     Deviations are summed around a first guess, the plain mean of the points, so that
-    large values do not cancel.
+    large values do not cancel. The guess is a whole number: sums over whole ratings are then
+    exact, in whatever order tasks end.
     """
     guess = points.agg(*[F.avg(c).alias(c) for c in columns]).first()
-    shift = {c: float(guess[c] or 0.0) for c in columns}
+    shift = {c: float(round(guess[c] or 0.0)) for c in columns}
     weight = F.col("_weight")
     sums = points.agg(
         F.sum(weight).alias("_n"),
@@ -78,6 +82,11 @@ def fit_classes(
     Equal rating pairs are folded to one weighted point first: ratings of 0 to 100
     give at most 10,201 points, whatever the number of movies. ``df`` is read once; the
     statistics and the rounds of k-means read the points, which are written.
+
+    Spark draws the start of k-means from each partition by its number and the order of its
+    rows. So the points are dealt by their hash into pieces whose number depends on the points
+    alone, and sorted in each: the same table gives the same clusters, with the same numbers,
+    however its rows are spread and whatever the size of the cluster.
     """
     points = df.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias("_weight"))
     points = materialized(points, "rating-points", work_dir)
@@ -88,7 +97,9 @@ def fit_classes(
     kmeans = KMeans(
         k=k, seed=seed, featuresCol="_features", predictionCol="cluster_id", weightCol="_weight"
     )
-    model = Pipeline(stages=[assembler, kmeans]).fit(_scaled(points, columns, mean, std))
+    pieces = max(PIECES, -(-points.count() // PIECE_POINTS))
+    placed = points.repartition(pieces, *columns).sortWithinPartitions(*columns)
+    model = Pipeline(stages=[assembler, kmeans]).fit(_scaled(placed, columns, mean, std))
     return model, mean, std
 
 

@@ -105,3 +105,19 @@ def test_statistics_from_weighted_points(spark):
     stats = feature_stats(df, columns).first()
     assert mean == pytest.approx([stats[f"mean_{c}"] for c in columns])
     assert std == pytest.approx([stats[f"std_{c}"] for c in columns])
+
+
+def test_clusters_do_not_depend_on_the_partitioning(spark):
+    """Overlapping groups, where another start ends in other clusters."""
+    rng = random.Random(11)
+    centers = [(55, 60), (62, 48), (48, 45), (66, 66), (40, 62)]
+    rows = []
+    for i in range(4000):
+        c, a = centers[i % 5]
+        rows.append((i, min(100, max(0, round(rng.gauss(c, 12)))), min(100, max(0, round(rng.gauss(a, 12))))))
+    df = spark.createDataFrame(rows, "id int, rt_tomatometer_rating int, rt_audience_rating int")
+    got = {}
+    for n in (1, 4, 16):
+        spread = df.repartition(n, F.xxhash64("id", F.lit(n)))
+        got[n] = {r.id: (r.cluster_id, r.category) for r in classify_ratings(spread, keep_cluster=True).collect()}
+    assert got[1] == got[4] == got[16] and len({c for c, _ in got[1].values()}) == 4
