@@ -50,17 +50,18 @@ def inside_after(line: str, inside: bool, sep: str) -> bool:
         at += len(sep)
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, str | None]]:
-    """Path, offset and line, and a line of None at the end of each piece."""
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, str | None]]:
+    """What names a piece (all columns but the last) and line, and a line of None at its end."""
     last = None
     for batch in batches:
-        for path, start, line in zip(*(c.to_pylist() for c in batch.columns)):
-            if last is not None and last != (path, start):
-                yield *last, None
-            last = (path, start)
-            yield path, start, line
+        for *piece, line in zip(*(c.to_pylist() for c in batch.columns)):
+            piece = tuple(piece)
+            if last is not None and last != piece:
+                yield last, None
+            last = piece
+            yield piece, line
     if last is not None:
-        yield *last, None
+        yield last, None
 
 
 def _summed_up(sep: str):
@@ -68,9 +69,9 @@ def _summed_up(sep: str):
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, states, size, crlf = [], [False, True], 0, None
-        for path, start, line in _pieces(batches):
+        for piece, line in _pieces(batches):
             if line is None:
-                rows.append((path, start, *states, size, crlf))
+                rows.append((*piece, *states, size, crlf))
                 states, size, crlf = [False, True], 0, None
                 continue
             crlf = line.endswith("\r") if crlf is None else crlf
@@ -79,7 +80,7 @@ def _summed_up(sep: str):
                 states = [inside_after(line, s, sep) for s in states]
             # A line without quotes leaves both as they are.
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["path", "start", "outside", "inside", "bytes", "crlf"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["path", "start", "size", "outside", "inside", "bytes", "crlf"])
 
     return task
 
@@ -116,7 +117,7 @@ def _cut(sep: str):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         both, seq = [_Cutter(False), _Cutter(True)], 0
-        for path, start, line in _pieces(batches):
+        for piece, line in _pieces(batches):
             seq += 1
             for cutter in both:
                 guess = None if len(both) == 1 else cutter is both[1]
@@ -125,7 +126,7 @@ def _cut(sep: str):
                 else:
                     found, ended = cutter.line(line, sep, seq), True
                 if found is not None:
-                    rows.append((path, start, guess, *found, ended))
+                    rows.append((*piece, guess, *found, ended))
             if line is None:
                 both, seq = [_Cutter(False), _Cutter(True)], 0
             elif len(both) == 2 and not both[0].open and not both[1].open:
@@ -148,7 +149,8 @@ def csv_records(spark: SparkSession, path: str | list[str], sep: str = ",") -> D
     """
     lines = spark.read.option("lineSep", "\n").text(path)
     meta = [F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start")]
-    pieces = lines.select(*meta, "value").mapInArrow(_summed_up(sep), "path string, start long, outside boolean, inside boolean, bytes long, crlf boolean")
+    sized = lines.select(*meta, F.col("_metadata.file_size").alias("size"), "value")
+    pieces = sized.mapInArrow(_summed_up(sep), "path string, start long, size long, outside boolean, inside boolean, bytes long, crlf boolean")
     # One row for each piece. A piece that ends alike either way settles the state; between those,
     # pieces that turn it around are counted.
     in_file = Window.partitionBy("path").orderBy("start")
@@ -161,11 +163,10 @@ def csv_records(spark: SparkSession, path: str | list[str], sep: str = ",") -> D
     begins = (F.coalesce(last["state"], F.lit(False)).cast("int") + turns) % 2 == 1
     file = Window.partitionBy("path")
     crlf = F.coalesce(F.max(F.when(F.col("start") == 0, F.col("crlf"))).over(file), F.lit(False))
-    pieces = pieces.select("path", "start", begins.alias("begins"), F.sum("bytes").over(file).alias("total"), crlf.alias("crlf"))
+    whole = F.sum("bytes").over(file) == F.col("size")
+    known = pieces.select(F.col("path").alias("_path"), F.col("start").alias("_start"), begins.alias("begins"), whole.alias("whole"), crlf.alias("crlf"))
 
     cut = lines.select(*meta, "value").mapInArrow(_cut(sep), "path string, start long, guess boolean, seq long, kind int, text string, ended boolean")
-    sizes = lines.select(meta[0], F.col("_metadata.file_size").alias("size")).distinct()
-    known = pieces.join(sizes, "path").select(F.col("path").alias("_path"), F.col("start").alias("_start"), "begins", "crlf", (F.col("total") == F.col("size")).alias("whole"))
     true = cut.join(known, (F.col("path") == F.col("_path")) & (F.col("start") == F.col("_start")))
     true = true.where(F.col("guess").isNull() | (F.col("guess") == F.col("begins")))
     records = true.where(F.col("kind") == RECORD).select("path", "start", "seq", F.col("text").alias("record"), "crlf")
