@@ -23,7 +23,8 @@ HEADLINE = [
     "q_keep_one", "q_review_agg", "q_band_join", "q_or_join", "q_star_join", "q_batches", "q_slug",
     "q_multi_date", "q_title_tokens", "q_roundtrip_multiline", "q_extract_class", "q_classify",
     "q_word_freq", "q_word_freq_paired", "q_stopword_anti", "q_top_words", "q_tfidf", "q_credits",
-    "q_title_match", "q_best_match", "q_movie_table",
+    "q_title_match", "q_best_match", "q_movie_table", "q_outcome_rows", "q_batches_input_order",
+    "q_credits_recovered", "q_roundtrip_one_csv", "q_pipeline",
 ]
 
 
