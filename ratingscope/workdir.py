@@ -1,7 +1,8 @@
 """The shared folder for tables that a job writes once and reads several times.
 
 The folder is ``work_dir`` where one is given, else the one that ``spark.checkpoint.dir``
-names, else a folder below ``spark.sql.warehouse.dir``, which a cluster shares as well.
+names, else a folder below ``spark.sql.warehouse.dir``, which a cluster shares as well. A
+warehouse on the driver's own disk is shared with nobody, so on a cluster it is an error.
 
 Results are lazy, so their intermediate tables must outlive the call that made them.
 :func:`work_folder` removes them once the result is written::
@@ -29,6 +30,8 @@ def work_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
+        if root.startswith(("/", "file:")) and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("executors do not share the warehouse on the driver's disk: set spark.checkpoint.dir")
     return root.rstrip("/")
 
 

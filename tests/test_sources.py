@@ -144,6 +144,23 @@ def test_without_a_shared_folder_the_warehouse_holds_it():
     assert workdir.work_root(Session()) == "hdfs://host/warehouse/_work"
 
 
+@pytest.mark.parametrize(("master", "warehouse", "fails"), [("spark://h:7077", "file:/home/x/wh", True), ("yarn", "/home/x/wh", True), ("local[2]", "file:/home/x/wh", False), ("yarn", "s3a://b/wh", False)])
+def test_a_warehouse_on_one_machine_is_an_error_on_a_cluster(master, warehouse, fails):
+    class Session:
+        class sparkContext:
+            getCheckpointDir = staticmethod(lambda: None)
+
+        class conf:
+            get = staticmethod(lambda key, *default: default[0] if default else warehouse)
+
+    Session.sparkContext.master = master
+    if fails:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            workdir.work_root(Session())
+    else:
+        assert workdir.work_root(Session()) == warehouse + "/_work"
+
+
 def test_work_folder_is_gone_after_the_job(spark, tmp_path):
     with workdir.work_folder(spark, str(tmp_path)) as folder:
         df = workdir.materialized(spark.range(3), "t")
