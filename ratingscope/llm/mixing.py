@@ -1,12 +1,15 @@
 """Mixing sources to target weights by Pareto order sampling, in SQL functions only.
 
 Every document of a source is wanted ``target / source_size`` times. The whole part of that
-number is given to each document as certain copies. The rest is an inclusion probability p:
-documents are ranked by random odds over inclusion odds, ``(u / (1 - u)) / (p / (1 - p))``,
-and the first ones are taken until the words left over are used up. The last place goes to
-the document whose size comes nearest to what is then missing.
-
-Edge cases. Null texts have size 0. Null sources form one source, which sorts last. An empty
+number is given to each document as certain copies. The words left over are sampled with
+unequal probabilities: p is a factor times the document's size, and 1 for those that would
+come above it, the factor being such that the expected words are those left over. Documents
+with p = 1 get one more certain copy. The others are ranked by random odds over inclusion odds,
+``(u / (1 - u)) / (p / (1 - p))``, and the first ones are taken until the words are used up (the
+sample is of fixed size in words). The last place goes to the document whose size comes nearest
+to what is then missing.
+
+Edge cases. Null texts have size 0; documents of size 0 get the whole copies alone. Null sources form one source, which sorts last. An empty
 table gives an empty result. Rows that repeat (same id, source and text) share one random
 number and are taken or left together. ``u`` is a hash of the row, so reruns agree.
 """
@@ -59,6 +62,23 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     return shared.withColumn("_last", last).select("source", "source_size", target.alias("target"))
 
 
+def size_factors(counts: DataFrame, rests: DataFrame) -> DataFrame:
+    """``_source``, ``_factor``, ``_most``: p is ``_factor * size`` up to size ``_most``, 1 beyond.
+
+    ``counts`` has a row for each size of a source (``source, size, n``), ``rests`` the words
+    left over (``_source, _rest``). From the largest size down, sizes stop being certain at the
+    first whose factor, worked out with all above it certain, gives less than 1. Sums are exact.
+    A window holds the distinct sizes of a source, fewer than the root of twice its words.
+    """
+    upto = Window.partitionBy("source").orderBy("size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    above = Window.partitionBy("source").orderBy("size").rowsBetween(1, Window.unboundedFollowing)
+    words = F.coalesce(F.sum(F.col("n") * F.col("size")).over(above), F.lit(0)).cast("double")
+    squares = F.sum(F.col("size").cast("decimal(20,0)") * F.col("size") * F.col("n")).over(upto).cast("double")
+    sums = counts.select("source", "size", words.alias("_words"), squares.alias("_squares"))
+    known = sums.join(rests, F.col("source").eqNullSafe(F.col("_source"))).withColumn("_factor", (F.col("_rest") - F.col("_words")) / F.col("_squares"))
+    return known.where(F.col("_factor") * F.col("size") < 1).groupBy("_source").agg(F.max_by("_factor", "size").alias("_factor"), F.max("size").alias("_most"))
+
+
 def mix_sources(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, work_dir: str | None = None) -> DataFrame:
     """One row per document: ``doc_id, source, size, source_size, target, copies, taken, row_hash``.
 
@@ -71,18 +91,24 @@ def mix_sources(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, most: in
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = source_targets(sizes, weights, most)
     wanted = F.coalesce(F.try_divide(F.col("target"), F.col("source_size")), F.lit(0.0))
-    plan = plan.withColumn("_whole", F.floor(wanted)).withColumn("_p", wanted - F.col("_whole"))
-    plan = plan.withColumn("_rest", F.col("target") - F.col("_whole") * F.col("source_size"))
+    plan = plan.withColumn("_whole", F.floor(wanted)).withColumn("_rest", F.col("target") - F.floor(wanted) * F.col("source_size"))
+    plan = materialized(plan.withColumnRenamed("source", "_source"), "mix-targets", work_dir)
+    factors = size_factors(rows.where("size > 0").groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), plan.select("_source", "_rest").where("_rest > 0"))
+    factors = factors.withColumnRenamed("_source", "_name")
+    plan = plan.join(factors, F.col("_source").eqNullSafe(F.col("_name")), "left").drop("_name")
     plan = materialized(plan, "mix-plan", work_dir)
-    named = plan.withColumnRenamed("source", "_source")
 
     def with_plan(df: DataFrame, other: DataFrame) -> DataFrame:
         return df.join(other, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
 
     u = (F.col("row_hash") + F.lit(0.5)) / F.lit(float(1 << 52))
-    odds = (u / (1 - u)) / (F.col("_p") / (1 - F.col("_p")))
-    ranked = with_plan(rows, named).withColumn("_rank", F.when((F.col("_p") > 0) & (F.col("_p") < 1), odds / (1 + odds)))
-    ranked = ranked.withColumn("_step", F.least(F.floor(F.col("_rank") * STEPS), F.lit(STEPS - 1)))
+    p = F.col("_factor") * F.col("size")
+    odds = (u / (1 - u)) / (p / (1 - p))
+    # Certain ones have a step of their own before all others; their words are within the rest.
+    certain = F.col("size") > F.coalesce("_most", F.lit(0))
+    drawn = (F.col("_rest") > 0) & (F.col("size") > 0)
+    ranked = with_plan(rows, plan).withColumn("_rank", F.when(drawn, F.when(certain, 0.0).otherwise(odds / (1 + odds))))
+    ranked = ranked.withColumn("_step", F.when(drawn, F.when(certain, -1).otherwise(F.least(F.floor(F.col("_rank") * STEPS), F.lit(STEPS - 1)))))
 
     steps = ranked.where(F.col("_step").isNotNull()).groupBy("source", "_step").agg(F.sum("size").alias("_sum"), F.first("_rest").alias("_rest"))
     upto = Window.partitionBy("source").orderBy("_step").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -132,11 +158,19 @@ shared AS (
 targets AS (
   SELECT source, source_size, CASE WHEN cap > w * share THEN w * max(CASE WHEN cap > w * share THEN share END) OVER () ELSE cap END AS target FROM shared),
 plan AS (
-  SELECT *, floor(coalesce(target / nullif(source_size, 0), 0)) AS whole, coalesce(target / nullif(source_size, 0), 0) - floor(coalesce(target / nullif(source_size, 0), 0)) AS p,
+  SELECT *, floor(coalesce(target / nullif(source_size, 0), 0)) AS whole,
     target - floor(coalesce(target / nullif(source_size, 0), 0)) * source_size AS rest FROM targets),
+counts AS (SELECT source, size, count(*) AS n FROM rows WHERE size > 0 GROUP BY source, size),
+sums AS (
+  SELECT source, size, coalesce(sum(n * size) OVER (PARTITION BY source ORDER BY size ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0)::DOUBLE AS words,
+    (sum(size::HUGEINT * size * n) OVER (PARTITION BY source ORDER BY size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::DOUBLE AS squares FROM counts),
+tried AS (
+  SELECT s.source, s.size, (rest - words) / squares AS factor FROM sums s JOIN plan ON s.source IS NOT DISTINCT FROM plan.source WHERE rest > 0),
+factors AS (SELECT source, arg_max(factor, size) AS factor, max(size) AS most FROM tried WHERE factor * size < 1 GROUP BY source),
 odds AS (
-  SELECT r.*, source_size, target, whole, rest, CASE WHEN p > 0 AND p < 1 THEN (((h + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE) / (1 - (h + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE)) / (p / (1 - p)) END AS o
-  FROM rows r JOIN plan ON r.source IS NOT DISTINCT FROM plan.source),
+  SELECT r.*, source_size, target, whole, rest, CASE WHEN rest > 0 AND size > 0 THEN CASE WHEN size > coalesce(most, 0) THEN 0
+    ELSE (((h + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE) / (1 - (h + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE)) / ((factor * size) / (1 - factor * size)) END END AS o
+  FROM rows r JOIN plan ON r.source IS NOT DISTINCT FROM plan.source LEFT JOIN factors ON r.source IS NOT DISTINCT FROM factors.source),
 units AS (
   SELECT source, h, sum(size) AS unit, min(o) AS o, any_value(rest) AS rest FROM odds WHERE o IS NOT NULL GROUP BY source, h),
 upto AS (SELECT *, sum(unit) OVER (PARTITION BY source ORDER BY o, h ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) <= rest AS fits FROM units),

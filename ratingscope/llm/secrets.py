@@ -1,7 +1,7 @@
 """Secret scans: fixed patterns plus character Markov models, in SQL functions only.
 
 Two order-1 character models are trained on the corpus itself. The random one learns from
-what the fixed patterns hit (the secret part of it), the ordinary one from all runs of two or
+what the fixed patterns hit (of an assignment the value, whole), the ordinary one from all runs of two or
 more characters outside such hits that recur (RECURS) in a bounded sample of documents, as words,
 names and numbers do and keys do not. Pairs seen seldom lean on how often their second character
 is seen at all. A candidate is any
@@ -14,11 +14,13 @@ A span is the whole match, ``kind:start:end`` in code points, end exclusive. Kin
 
 Edge cases. Null and empty texts have no spans. Without labelled samples (an empty table, a
 corpus without any secret) the models are flat and add nothing. Repeated rows get equal spans.
+The work on a text grows with n log n, whatever it holds.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,40 +50,64 @@ RECURS = 3
 # Mean log-likelihood ratio of a pair from which a candidate counts as random.
 THRESHOLD = 0.5
 SPAN = "array<struct<start:int,end:int,kind:int>>"
+FOUND = "array<struct<start:int,end:int,kind:int,t:string>>"
+# After the last character of any text.
+END = (1 << 31) - 1
 
 
-def _spans(text: Column, pattern: str, kind: int, least: int = 0) -> Column:
-    """Leftmost non-overlapping matches with their places, from the pieces between them."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    secret = F.regexp_extract_all(text, F.lit(pattern), F.lit(2)) if least else found
-    between = F.split(text, pattern, -1)
-    step = F.zip_with(
-        F.zip_with(F.slice(between, 1, F.size(found)), found, lambda b, m: F.struct(F.length(b).alias("gap"), F.length(m).alias("size"))),
-        secret,
-        lambda x, s: F.struct(x["gap"].alias("gap"), x["size"].alias("size"), (F.length(s) >= least).alias("long")),
-    )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
-    walked = F.aggregate(
-        step,
-        start,
-        lambda s, x: F.struct(
-            (s["at"] + x["gap"] + x["size"]).alias("at"),
-            F.when(x["long"], F.concat(s["out"], F.array(F.struct((s["at"] + x["gap"]).alias("start"), (s["at"] + x["gap"] + x["size"]).alias("end"), F.lit(kind).alias("kind")))))
-            .otherwise(s["out"])
-            .alias("out"),
-        ),
-        lambda s: s["out"],
-    )
-    return F.when(F.regexp_like(text, F.lit(pattern)), walked).otherwise(F.array().cast(SPAN))
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once for each row."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _running(values: Column, add: Callable[[Column, Column], Column], zero: Column) -> Column:
+    """Running totals of an array by doubling: each round adds what stands 1, 2, 4, .. places before.
+
+    n log n steps. Appending to a growing array would copy it each time.
+    """
+    rounds = F.transform(F.sequence(F.lit(0), F.length(F.bin(F.size(values))) - 1), lambda k: F.call_function("shiftleft", F.lit(1), k))
+
+    def once(sums: Column, step: Column) -> Column:
+        by = F.least(step, F.size(sums))
+        return F.zip_with(sums, F.concat(F.array_repeat(zero, by), F.slice(sums, F.lit(1), F.size(sums) - by)), add)
+
+    return F.aggregate(rounds, values, once)
+
+
+def _found(text: Column, pattern: str, kind: int, least: int = 0) -> Column:
+    """Leftmost non-overlapping matches with their places, from the pieces between them.
+
+    ``t`` is the match, or its second group where that must have ``least`` characters.
+    """
+
+    def placed(found: Column) -> Column:
+        secret = F.regexp_extract_all(text, F.lit(pattern), F.lit(2)) if least else found
+        sizes = F.zip_with(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), found, lambda b, m: F.length(b) + F.length(m))
+        ends = _running(sizes, lambda a, b: a + b, F.lit(0))
+        spans = F.zip_with(ends, found, lambda e, m: F.struct((e - F.length(m)).alias("start"), e.alias("end"), F.lit(kind).alias("kind")))
+        spans = F.zip_with(spans, secret, lambda s, t: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), t.alias("t")))
+        return F.filter(spans, lambda s: F.length(s["t"]) >= least) if least else spans
+
+    nothing = F.array().cast(FOUND)
+    return F.when(F.regexp_like(text, F.lit(pattern)), _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)).otherwise(nothing)
+
+
+def _by_place(spans: Column) -> Column:
+    return F.array_sort(spans, lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(a["kind"] - b["kind"]))
+
+
+def _places(found: Column) -> Column:
+    return F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
+
+
+def _base(text: Column) -> Column:
+    kinds = [(ASSIGN, ASSIGN_LEAST), (ACCESS, 0), (HEX, 0)]
+    return _by_place(F.concat(*[_found(text, p, k, least) for k, (p, least) in enumerate(kinds)]))
 
 
 def base_spans(text: Column) -> Column:
     """Spans of the fixed patterns, by start, then kind."""
-    kinds = [(ASSIGN, ASSIGN_LEAST), (ACCESS, 0), (HEX, 0)]
-    return F.array_sort(
-        F.concat(*[_spans(text, p, k, least) for k, (p, least) in enumerate(kinds)]),
-        lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(a["kind"] - b["kind"]),
-    )
+    return _places(_base(text))
 
 
 def joined(spans: Column) -> Column:
@@ -90,9 +116,13 @@ def joined(spans: Column) -> Column:
 
 
 def _pairs(run: Column) -> Column:
-    """Character pairs of a run as numbers; characters are ASCII by the candidate pattern."""
-    code = lambda i: F.ascii(F.substring(run, i, F.lit(1)))
-    return F.when(F.length(run) < 2, F.array().cast("array<int>")).otherwise(F.transform(F.sequence(F.lit(1), F.length(run) - 1), lambda i: code(i) * CODES + code(i + 1)))
+    """Character pairs of a run as numbers. Its characters are ASCII, so they are found by byte."""
+
+    def numbered(raw: Column) -> Column:
+        code = lambda i: F.ascii(F.substring(raw, i, F.lit(1)).cast("string"))
+        return F.transform(F.sequence(F.lit(1), F.octet_length(raw) - 1), lambda i: code(i) * CODES + code(i + 1))
+
+    return F.when(F.length(run) < 2, F.array().cast("array<int>")).otherwise(_let(run.cast("binary"), numbered))
 
 
 def pair_table(samples: DataFrame) -> str | None:
@@ -121,16 +151,39 @@ def pair_table(samples: DataFrame) -> str | None:
     return ",".join(f"{x:.4f}" for x in ratios)
 
 
-def _outside(run: Column, spans: Column) -> Column:
-    """The parts of a run outside ``spans`` (sorted by start) that are long enough."""
-    piece = lambda start, end: F.when(end - start >= LEAST, F.array(F.struct(start.alias("start"), end.alias("end"), F.lit(3).alias("kind")))).otherwise(F.array().cast(SPAN))
-    met = F.filter(spans, lambda s: (s["start"] < run["end"]) & (run["start"] < s["end"]))
-    return F.aggregate(
-        met,
-        F.struct(run["start"].alias("at"), F.array().cast(SPAN).alias("out")),
-        lambda s, x: F.struct(F.greatest(s["at"], x["end"]).alias("at"), F.concat(s["out"], piece(s["at"], x["start"])).alias("out")),
-        lambda s: F.concat(s["out"], piece(s["at"], run["end"])),
-    )
+def _free(spans: Column) -> Column:
+    """The stretches outside ``spans`` (sorted by start), empty ones included."""
+    ends = _running(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b), F.lit(0))
+    starts = F.concat(F.transform(spans, lambda s: s["start"]), F.array(F.lit(END)))
+    return F.zip_with(F.concat(F.array(F.lit(0)), ends), starts, lambda a, b: F.struct(a.alias("start"), b.alias("end")))
+
+
+def _outside(runs: Column, spans: Column) -> Column:
+    """The parts of ``runs`` outside ``spans`` that are long enough.
+
+    A part begins where a run or a free stretch begins. All beginnings are sorted; running
+    counts of either sort tell which run and which stretch each one stands in.
+    """
+
+    def cut(free: Column) -> Column:
+        begins = lambda of, is_run: F.transform(of, lambda x: F.struct(x["start"].alias("at"), F.lit(is_run).alias("run")))
+
+        def parts(marks: Column) -> Column:
+            def part(mark: Column, n: Column, i: Column) -> Column:
+                run, stretch = F.get(runs, n - 1), F.get(free, i - n)
+                end = F.least(run["end"], stretch["end"])
+                t = F.substring(run["t"].cast("binary"), mark["at"] - run["start"] + 1, end - mark["at"]).cast("string")
+                one = F.struct(mark["at"].alias("start"), end.alias("end"), F.lit(3).alias("kind"), t.alias("t"))
+                return F.when((n > 0) & (i >= n) & (end - mark["at"] >= LEAST), one)
+
+            # Runs begun so far, this one included; the other marks up to here are stretches.
+            nth = _running(F.transform(marks, lambda m: m["run"]), lambda a, b: a + b, F.lit(0))
+            both = F.zip_with(marks, nth, lambda m, n: F.struct(m["at"].alias("at"), n.alias("n")))
+            return F.filter(F.transform(both, lambda m, i: part(m, m["n"], i)), lambda x: x.isNotNull())
+
+        return _let(F.sort_array(F.concat(begins(runs, 1), begins(free, 0))), parts)
+
+    return F.when((F.size(spans) > 0) & (F.size(runs) > 0), _let(_free(spans), cut)).otherwise(runs)
 
 
 def scan_secrets(docs: DataFrame, *, threshold: float = THRESHOLD, sample_docs: int = SAMPLE_DOCS, work_dir: str | None = None) -> DataFrame:
@@ -138,47 +191,38 @@ def scan_secrets(docs: DataFrame, *, threshold: float = THRESHOLD, sample_docs:
     of every document."""
     share = min(1.0, sample_docs / max(1, docs.count()))
     sampled = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(share * (1 << 30))
-    part = lambda s: F.col("text").substr(s["start"] + 1, s["end"] - s["start"])
-    free = F.flatten(F.transform("runs", lambda r: _outside(r, F.col("base"))))
-    found = F.transform(free, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), part(s).alias("t")))
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("text_hash"))
-    rows = rows.withColumns({"base": base_spans(F.col("text")), "runs": _spans(F.col("text"), CANDIDATE, 3)})
-    rows = rows.select(
-        "doc_id",
-        "text_hash",
-        "base",
-        F.when(F.size("runs") > 0, found).otherwise(F.array().cast("array<struct<start:int,end:int,kind:int,t:string>>")).alias("runs"),
-        F.when(F.size("base") > 0, F.transform("base", part)).otherwise(F.array().cast("array<string>")).alias("hits"),
-    )
+    rows = rows.withColumns({"found": _base(F.col("text")), "long": _found(F.col("text"), CANDIDATE, 3)})
+    rows = rows.select("doc_id", "text_hash", _places(F.col("found")).alias("base"), _outside(F.col("long"), F.col("found")).alias("runs"), F.transform("found", lambda s: s["t"]).alias("hits"))
     rows = materialized(rows, "secrets-rows", work_dir)
-    # The secret part of a hit is the run at its end.
-    random = rows.select(F.explode("hits").alias("h")).select(F.lit(True).alias("secret"), F.regexp_extract("h", "[A-Za-z0-9+/_-]*$", 0).alias("t"))
+    random = rows.select(F.lit(True).alias("secret"), F.explode("hits").alias("t"))
     rest = F.coalesce("text", F.lit(""))
     for pattern in (ASSIGN, ACCESS, HEX):
         rest = F.regexp_replace(rest, pattern, " ")
     ordinary = docs.where(sampled).select(F.lit(False).alias("secret"), F.explode(F.regexp_extract_all(rest, F.lit(ORDINARY), F.lit(0))).alias("t"))
     ratios = pair_table(random.unionByName(ordinary))
-    nothing = F.array().cast(SPAN)
-    if ratios is None:
-        added = nothing
-    else:
+    spans = F.col("base")
+    if ratios is not None:
         table = F.split(F.lit(ratios), ",").cast("array<double>")
         mean = lambda r: F.aggregate(_pairs(r["t"]), F.lit(0.0), lambda s, p: s + F.element_at(table, p + 1)) / (F.length(r["t"]) - 1)
-        kept = F.filter("runs", lambda r: mean(r) >= threshold)
-        plain = F.transform(kept, lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), r["kind"].alias("kind")))
-        added = F.when(F.size("runs") > 0, plain).otherwise(nothing)
-    by_place = lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(a["kind"] - b["kind"])
-    return rows.select("doc_id", "text_hash", "base", F.array_sort(F.concat("base", added), by_place).alias("spans"))
+        added = _places(F.filter("runs", lambda r: mean(r) >= threshold))
+        spans = F.when(F.size("runs") > 0, _by_place(F.concat("base", added))).otherwise(spans)
+    return rows.select("doc_id", "text_hash", "base", spans.alias("spans"))
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """``text`` with every span replaced; overlapping spans become one mark."""
-    merged = F.aggregate(
-        spans,
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda s, x: F.struct(
-            F.greatest(s["at"], x["end"]).alias("at"),
-            F.when(x["start"] >= s["at"], F.concat(s["out"], text.substr(s["at"] + 1, x["start"] - s["at"]), F.lit(mark))).otherwise(s["out"]).alias("out"),
-        ),
-    )
-    return F.when(F.size(spans) > 0, F.concat(merged["out"], text.substr(merged["at"] + 1, F.length(text)))).otherwise(text)
+    """``text`` with every span replaced; overlapping spans become one mark.
+
+    Four bytes hold a character, so that pieces are found by place. Each begins with a byte
+    order mark, which decoding takes away.
+    """
+    order_mark = F.lit(b"\x00\x00\xfe\xff")
+
+    def joined_up(wide: Column) -> Column:
+        # A stretch that ends before it begins lies between spans that overlap.
+        free = F.filter(_free(spans), lambda s: s["start"] <= s["end"])
+        size = F.octet_length(wide) / 4
+        piece = lambda s: F.decode(F.concat(order_mark, F.substring(wide, s["start"] * 4 + 1, ((F.least(s["end"], size) - s["start"]) * 4).cast("int"))), "UTF-32")
+        return F.array_join(F.transform(free, piece), mark)
+
+    return F.when(F.size(spans) > 0, _let(F.encode(text, "UTF-32"), joined_up)).otherwise(text)

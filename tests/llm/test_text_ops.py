@@ -183,6 +183,96 @@ def test_secrets_of_one_kind_of_character(spark):
     assert all(found[3 + i] == "" for i in range(len(prose)))
 
 
+def slow_scan(texts):
+    """Base and Markov spans by plain loops over characters."""
+    assign = re.compile(secrets.ASSIGN, re.A)
+    base, hits, runs = [], [], []
+    for text in texts:
+        own = [(m.start(), 0, m.end(), m[2]) for m in assign.finditer(text) if len(m[2]) >= 6]
+        own += [(m.start(), 1, m.end(), m[0]) for m in re.finditer(secrets.ACCESS, text)] + [(m.start(), 2, m.end(), m[0]) for m in re.finditer(secrets.HEX, text)]
+        base.append(sorted(x[:3] for x in own))
+        hits += [x[3] for x in own]
+        hidden = "".join(" " if any(a <= i < b for a, _, b, _ in own) else c for i, c in enumerate(text))
+        runs.append([(m.start(), 3, m.end(), m[0]) for m in re.finditer(secrets.CANDIDATE, hidden)])
+    rest = [re.sub(secrets.HEX, " ", re.sub(secrets.ACCESS, " ", assign.sub(" ", t))) for t in texts]
+    plain = Counter(r for t in rest for r in re.findall(secrets.ORDINARY, t))
+    models = []
+    for counted in (Counter(hits), {r: n for r, n in plain.items() if n >= secrets.RECURS}):
+        pairs, second, first = Counter(), Counter(), Counter()
+        for run, n in counted.items():
+            for a, b in zip(run, run[1:]):
+                pairs[a, b] += n
+                first[a] += n
+                second[b] += n
+        models.append((pairs, first, second, sum(second.values())))
+
+    def log(model, a, b):
+        pairs, first, second, total = model
+        single = (second[b] + secrets.SMOOTH) / (total + secrets.SMOOTH * 64)
+        return math.log((pairs[a, b] + secrets.PRIOR * single) / (first[a] + secrets.PRIOR))
+
+    def mean(run):
+        return sum(log(models[0], a, b) - log(models[1], a, b) for a, b in zip(run, run[1:])) / (len(run) - 1)
+
+    return [",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in sorted(own + [r[:3] for r in found if mean(r[3]) >= secrets.THRESHOLD])) for own, found in zip(base, runs)]
+
+
+def test_secrets_match_plain_loops(spark):
+    """Models and spans, padded and dotted values among the samples, runs cut by several spans."""
+    rng = random.Random(12)
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    key = lambda n: "".join(rng.choices(signs, k=n))
+    words = ["internationalization", "responsibilities", "configuration_value", "the", "river-bank", "été", "日本", "2024", "x=1"]
+    texts = []
+    for i in range(150):
+        bits = [rng.choice(words) for _ in range(rng.randint(0, 12))]
+        bits += rng.choices([f"token={key(22)}==", f"secret: {key(10)}.{key(12)}.", key(30), f"{key(15)}AKIA{'A1' * 8}/{key(14)}{'0a' * 12}/{key(13)}", "password=no"], k=rng.randint(0, 3))
+        rng.shuffle(bits)
+        texts.append(" ".join(bits))
+    found = {r.doc_id: r.s for r in secrets.scan_secrets(docs_of(spark, texts)).select("doc_id", secrets.joined(F.col("spans")).alias("s")).collect()}
+    expected = slow_scan(texts)
+    assert [found[i] for i in range(len(texts))] == expected
+    assert sum("markov" in s for s in expected) > 30
+
+
+def test_padded_and_dotted_values_train_the_model(spark):
+    """``=`` and ``.`` at the end of a value lose none of it."""
+    texts = ["token=YWJjZGVmZ2g==", "token=abcdef.ghijkl.mnopqr", "secret=abcdefgh."]
+    rows = docs_of(spark, texts).select("doc_id", F.transform(secrets._base(F.col("text")), lambda s: s["t"]).alias("t")).collect()
+    assert {r.doc_id: r.t for r in rows} == {0: ["YWJjZGVmZ2g=="], 1: ["abcdef.ghijkl.mnopqr"], 2: ["abcdefgh."]}
+
+
+def slow_redaction(text, spans):
+    out, at = "", 0
+    for a, b in spans:
+        if a >= at:
+            out += text[at:a] + "[SECRET]"
+        at = max(at, b)
+    return out + text[at:]
+
+
+def test_redaction_of_many_spans(spark):
+    rng = random.Random(13)
+    texts, given = [], []
+    for i in range(60):
+        text = "".join(rng.choice("ab é日\ufeff\n😀") for _ in range(rng.randint(1, 80)))
+        spans = sorted(tuple(sorted(rng.choices(range(len(text) + 1), k=2))) for _ in range(rng.randint(0, 6)))
+        texts.append(text)
+        given.append([(a, b) for a, b in spans if a < b])
+    rows = spark.createDataFrame([(i, t, [(a, b, 3) for a, b in g]) for i, (t, g) in enumerate(zip(texts, given))], f"doc_id long, text string, spans {secrets.SPAN}")
+    out = {r.doc_id: r.t for r in rows.select("doc_id", secrets.redacted(F.col("text"), F.col("spans")).alias("t")).collect()}
+    assert [out[i] for i in range(len(texts))] == [slow_redaction(t, g) for t, g in zip(texts, given)]
+
+
+def test_many_runs_in_one_text(spark):
+    """A text of 20,000 runs and 5,000 base spans, and one run of 400,000 characters."""
+    many = " ".join(f"abcdefghijk{i % 10}lm" + (f" token=x{i:07d}" if i % 4 == 0 else "") for i in range(20_000))
+    found = {r.doc_id: r for r in secrets.scan_secrets(docs_of(spark, [many, "QWxhZGRpbjpvcGVu" * 25_000, "token=abcdefgh1"])).collect()}
+    assert len(found[0].base) == 5_000
+    marked = docs_of(spark, [many]).select(secrets.redacted(F.col("text"), secrets.base_spans(F.col("text")))).first()[0]
+    assert marked.count("[SECRET]") == 5_000 and "token" not in marked
+
+
 def test_secrets_of_an_empty_table(spark):
     assert secrets.scan_secrets(docs_of(spark, [])).count() == 0
 
@@ -446,6 +536,35 @@ def test_mix_is_random_by_inclusion_odds(spark):
     assert share == pytest.approx(0.75, abs=0.03) and len(taken) == 30
 
 
+def slow_probabilities(sizes, rest):
+    """Probabilities proportional to size that add up to ``rest`` words, found by halving."""
+    low, high = 0.0, 1.0
+    for _ in range(200):
+        mid = (low + high) / 2
+        low, high = (low, mid) if sum(min(1, mid * s) * s for s in sizes) > rest else (mid, high)
+    return [min(1, low * s) for s in sizes]
+
+
+def test_mix_draws_large_documents_more_often(spark):
+    """Shares drawn follow unequal probabilities; documents that reach 1 are always drawn."""
+    length = [5, 10, 20, 40, 400]
+    sizes = [length[min(4, (i // 3) % 41 // 10)] for i in range(3 * 41 * 40)]
+    drawn = Counter()
+    texts = [" ".join([str(i)] * n) for i, n in enumerate(sizes)]
+    for r in mixing.mix_sources(docs_of(spark, texts, {i: "abc"[i % 3] for i in range(len(sizes))})).collect():
+        assert 0 <= r.copies <= 3
+        drawn[r.source, r["size"]] += r.copies
+    own = sizes[1::3]
+    for source, whole, share in (("a", 1, 0.875), ("b", 0, 0.75), ("c", 0, 0.375)):
+        expected = defaultdict(float)
+        for s, p in zip(own, slow_probabilities(own, share * sum(own))):
+            expected[s] += whole + p
+        for s in length:
+            assert drawn[source, s] == pytest.approx(expected[s], abs=0.08 * own.count(s)), (source, s)
+    rates = [drawn["c", s] / own.count(s) for s in length]
+    assert rates == sorted(rates) and rates[3] > 3 * rates[0]
+
+
 def test_mix_of_nothing(spark):
     assert mixing.mix_sources(docs_of(spark, [])).count() == 0
     assert {r.taken for r in mixing.mix_sources(docs_of(spark, [None, ""])).collect()} == {0}
