@@ -11,6 +11,9 @@ objects. Patterns are left for text without any.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -96,11 +99,8 @@ def _structured_cast(parsed: Column) -> Column:
     return _top_cast(actors)
 
 
-def _pattern_cast(c: Column) -> Column:
-    text = F.coalesce(c, F.lit(""))
-    names = F.regexp_extract_all(text, F.lit(NAME_PATTERN), 1)
-    characters = F.regexp_extract_all(text, F.lit(CHARACTER_PATTERN), 1)
-    orders = F.regexp_extract_all(text, F.lit(ORDER_PATTERN), 1)
+def _pattern_cast(names: Column, characters: Column, orders: Column) -> Column:
+    """The lists are columns: as expressions they would be found again for each actor."""
     shortest = F.least(F.size(names), F.size(characters), F.size(orders))
     actors = F.transform(
         F.slice(names, F.lit(1), shortest),
@@ -121,16 +121,34 @@ def _pattern_names(c: Column, pattern: str) -> Column:
 def _parsed(c: Column, type_name: str, mode: str) -> Column:
     if mode == "regex":
         return F.lit(None).cast(type_name)
-    return F.from_json(literal_to_json(c), type_name, _JSON_OPTIONS)
+    # A list that never ends does not parse.
+    endless = c.startswith("[") & ~c.contains("]")
+    return F.when(~endless, F.from_json(literal_to_json(c), type_name, _JSON_OPTIONS))
+
+
+def _whole_objects(df: DataFrame, texts: dict[str, Column], types: dict[str, str]) -> DataFrame:
+    """``df`` with the whole objects of each text that parse, or null if there are none, in ``_whole_..``.
+
+    They are parsed as one list. Where one of them does not parse, or lacks what may have
+    been lost with the list, each is parsed alone. What one projection finds the next reads.
+    """
+    df = df.withColumns({f"_found_{n}": F.regexp_extract_all(c, F.lit(OBJECT_PATTERN), 0) for n, c in texts.items()})
+    listed = {f"_list_{n}": F.concat(F.lit("["), F.array_join(f"_found_{n}", ","), F.lit("]")) for n in texts}
+    df = df.withColumns(listed)
+    df = df.withColumns({f"_all_{n}": F.from_json(literal_to_json(F.col(f"_list_{n}")), types[n], _JSON_OPTIONS) for n in texts})
 
+    def whole(name: str) -> Column:
+        fields = ["name", "order"] if "`order`" in types[name] else ["name"]
+        every, found = F.col(f"_all_{name}"), F.col(f"_found_{name}")
+        sound = F.forall(every, lambda x: reduce(and_, [x[f].isNotNull() for f in fields]))
+        one = types[name].removeprefix("array<").removesuffix(">")
+        alone = F.transform(found, lambda o: F.from_json(literal_to_json(o), one, _JSON_OPTIONS))
+        alone = F.filter(alone, lambda x: x.isNotNull() & x["name"].isNotNull())
+        return F.when((F.size(every) == F.size(found)) & sound, every).otherwise(alone)
 
-def _objects(c: Column, type_name: str) -> Column:
-    """The whole objects of a text that parse, or null if there are none."""
-    one = type_name.removeprefix("array<").removesuffix(">")
-    found = F.regexp_extract_all(c, F.lit(OBJECT_PATTERN), 0)
-    parsed = F.transform(found, lambda o: F.from_json(literal_to_json(o), one, _JSON_OPTIONS))
-    whole = F.filter(parsed, lambda x: x.isNotNull() & x["name"].isNotNull())
-    return F.when(F.size(whole) > 0, whole)
+    df = df.withColumns({f"_whole_{n}": whole(n) for n in texts})
+    df = df.drop(*[f"_{step}_{n}" for n in texts for step in ("found", "list", "all")])
+    return df.withColumns({f"_whole_{n}": F.when(F.size(f"_whole_{n}") > 0, F.col(f"_whole_{n}")) for n in texts})
 
 
 def _workers(parsed: Column) -> Column:
@@ -164,19 +182,19 @@ def parse_credits(df: DataFrame, cast: str = "cast", crew: str = "crew", mode: s
 
     recovered = F.lit(False)
     if mode == "recover":
-        damaged = {c: F.col(f"_{p}").isNull() & ~F.col(f"_no_{p}") for p, c in (("cast", cast), ("crew", crew))}
-        parsed = parsed.withColumns(
-            {
-                "_whole_cast": F.when(damaged[cast], _objects(F.col(cast), _CAST_TYPE)),
-                "_whole_crew": F.when(damaged[crew], _objects(F.col(crew), _CREW_TYPE)),
-            }
-        )
+        damaged = {p: F.when(F.col(f"_{p}").isNull() & ~F.col(f"_no_{p}"), F.col(c)) for p, c in (("cast", cast), ("crew", crew))}
+        parsed = _whole_objects(parsed, damaged, {"cast": _CAST_TYPE, "crew": _CREW_TYPE})
         recovered = F.col("_whole_cast").isNotNull() | F.col("_whole_crew").isNotNull()
         parsed = parsed.withColumns(
             {"_recovered": recovered, "_cast": F.coalesce("_cast", "_whole_cast"), "_crew": F.coalesce("_crew", "_whole_crew")}
         )
         recovered = F.col("_recovered")
-    parsed = parsed.withColumn("_workers", _workers(F.col("_crew")))
+    unread = ~F.col("_no_cast") & F.col("_cast").isNull()
+    patterns = {"_names": NAME_PATTERN, "_characters": CHARACTER_PATTERN, "_orders": ORDER_PATTERN}
+    parsed = parsed.withColumns(
+        {"_workers": _workers(F.col("_crew"))}
+        | {c: F.when(unread, F.regexp_extract_all(cast, F.lit(p), 1)) for c, p in patterns.items()}
+    )
 
     def people(kind: str, pattern: str) -> Column:
         chosen = F.transform(F.filter("_workers", lambda x: x["kind"] == kind), lambda x: x["name"])
@@ -191,7 +209,7 @@ def parse_credits(df: DataFrame, cast: str = "cast", crew: str = "crew", mode: s
         {
             "_actors": F.when(F.col("_no_cast"), empty)
             .when(F.col("_cast").isNotNull(), _structured_cast(F.col("_cast")))
-            .otherwise(_pattern_cast(F.col(cast))),
+            .otherwise(_pattern_cast(F.col("_names"), F.col("_characters"), F.col("_orders"))),
             "director_names": people("d", DIRECTOR_PATTERN),
             "writer_names": people("w", WRITER_PATTERN),
             "producer_names": people("p", PRODUCER_PATTERN),
@@ -207,4 +225,4 @@ def parse_credits(df: DataFrame, cast: str = "cast", crew: str = "crew", mode: s
             "main_cast_names": F.transform("_actors", lambda x: x["name"]),
             "main_cast_characters": F.transform("_actors", lambda x: x["character"]),
         }
-    ).drop("_cast", "_crew", "_workers", "_no_cast", "_no_crew", "_actors", "_whole_cast", "_whole_crew", "_recovered")
+    ).drop(*patterns, "_cast", "_crew", "_workers", "_no_cast", "_no_crew", "_actors", "_whole_cast", "_whole_crew", "_recovered")
