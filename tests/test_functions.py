@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ratingscope import functions as rf
+from ratingscope.functions import text
 
 
 def values(spark, rows, column, schema="c string"):
@@ -125,3 +126,18 @@ def test_clean_titles(spark, title, clean):
 def test_resolve_columns(spark):
     df = spark.createDataFrame([(1, 2, 3)], "IMDB_ID int, Review int, other int")
     assert rf.resolve_columns(df, ["imdb_id", "review", "sentiment"]).columns == ["imdb_id", "review", "other"]
+
+
+def test_kept_characters_are_named_one_by_one(spark):
+    """All of the first code points, and some beyond; the list holds no range."""
+    import re
+
+    points = [*range(1, 0x250), 0x2003, 0x3000, 0x4E2D, 0x1F600]
+    rows = [(n, "a" + chr(n) * 2 + "[b]'") for n in points]
+    df = spark.createDataFrame(rows, "n int, t string")
+    got = df.select("n", text.clean_review(F.col("t")).alias("g"), text.clean_review(F.col("t"), glue=False).alias("s")).collect()
+    for n, t in rows:
+        glued, spaced = next((r.g, r.s) for r in got if r.n == n)
+        assert glued == re.sub(r"[^a-zA-Z0-9 \t\n\x0b\f\r]", "", t)
+        assert spaced == re.sub(r"[^a-zA-Z0-9 \t\n\x0b\f\r]", " ", re.sub(r"[\[\]']", "", t))
+    assert "-" not in text.KEPT
