@@ -16,9 +16,13 @@ end goes on without quotes.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
+from functools import cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,37 +33,45 @@ LINES = 4096
 
 def inside_after(line: str, inside: bool, sep: str) -> bool:
     """Whether the end of a line is inside a quoted field, by where its start is."""
-    at, size = 0, len(line)
-    while True:
-        if inside:
-            at = line.find('"', at)
-            if at < 0:
-                return True
-            if line.startswith('"', at + 1):
-                at += 2
-                continue
-            at += 1
-            inside = False
-        elif line.startswith('"', at):
-            at, inside = at + 1, True
-            continue
-        # Outside quotes: on to the next field.
-        at = line.find(sep, at)
-        if at < 0 or at >= size:
-            return False
-        at += len(sep)
-
-
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, str | None]]:
-    """What names a piece (all columns but the last) and line, and a line of None at its end."""
+    at = 0
+    fields, first, rest = _patterns(sep)
+    if inside:
+        # The rest of the field, and what stands between its closing quote and the next one.
+        found = first.match(line)
+        if found is None:
+            return rest.match(line) is None
+        at = found.end()
+    at = fields.match(line, at).end()
+    return line.startswith('"', at) and rest.match(line, at + 1) is None
+
+
+@cache
+def _patterns(sep: str) -> tuple[re.Pattern, re.Pattern, re.Pattern]:
+    """Whole fields with their separators; the rest of a quoted one with its separator; up to its closing quote."""
+    other = f"[^{re.escape(sep)}]*+" if len(sep) == 1 else f"(?:(?!{re.escape(sep)}).)*+"
+    close = '(?:[^"]++|"")*+"'
+    fields = f'(?:(?:"{close}|(?!")){other}{re.escape(sep)})*+'
+    return re.compile(fields, re.S), re.compile(close + other + re.escape(sep), re.S), re.compile(close, re.S)
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.Array | None]]:
+    """What names a piece (all columns but the last) and lines of it, and None at its end."""
     last = None
     for batch in batches:
-        for *piece, line in zip(*(c.to_pylist() for c in batch.columns)):
-            piece = tuple(piece)
+        *names, lines = batch.columns
+        # The rows at which another piece begins.
+        new = np.zeros(max(0, len(lines) - 1), bool)
+        for column in names:
+            new |= pc.not_equal(column.slice(1), column.slice(0, max(0, len(lines) - 1))).to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(new) + 1).tolist(), len(lines)]
+        for at, end in zip(cuts, cuts[1:]):
+            if at == end:
+                continue
+            piece = tuple(column[at].as_py() for column in names)
             if last is not None and last != piece:
                 yield last, None
             last = piece
-            yield piece, line
+            yield piece, lines.slice(at, end - at)
     if last is not None:
         yield last, None
 
@@ -69,16 +81,19 @@ def _summed_up(sep: str):
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, states, size, crlf = [], [False, True], 0, None
-        for piece, line in _pieces(batches):
-            if line is None:
+        for piece, lines in _pieces(batches):
+            if lines is None:
                 rows.append((*piece, *states, size, crlf))
                 states, size, crlf = [False, True], 0, None
                 continue
-            crlf = line.endswith("\r") if crlf is None else crlf
-            size += len(line.encode("utf-8", "surrogatepass")) + 1
-            if '"' in line:
-                states = [inside_after(line, s, sep) for s in states]
+            crlf = lines[0].as_py().endswith("\r") if crlf is None else crlf
+            size += pc.sum(pc.binary_length(lines)).as_py() + len(lines)
             # A line without quotes leaves both as they are.
+            for line in lines.filter(pc.match_substring(lines, '"')).to_pylist():
+                if states[0] == states[1]:
+                    states = [inside_after(line, states[0], sep)] * 2
+                else:
+                    states = [inside_after(line, s, sep) for s in states]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["path", "start", "size", "outside", "inside", "bytes", "crlf"])
 
@@ -93,11 +108,13 @@ class _Cutter:
 
     def line(self, line: str, sep: str, seq: int) -> tuple[int, int, str] | None:
         """What the line ends, if it ends something, and the number of its first line."""
+        if '"' in line:
+            self.inside = inside_after(line, self.inside, sep)
         if not self.open:
+            if not self.inside and self.kind == RECORD:
+                return seq, RECORD, line.removesuffix("\r")
             self.first = seq
         self.open.append(line)
-        if '"' in line:
-            self.inside = inside_after(line, self.inside, sep)
         if self.inside:
             return None
         text, kind = "\n".join(self.open), self.kind
@@ -109,34 +126,43 @@ class _Cutter:
         return (self.first, HEAD if self.kind == HEAD else TAIL, "\n".join(self.open)) if self.open else None
 
 
-def _cut(sep: str):
-    """Task function: records and parts of records, by guess (null: the same under both)."""
+def _cut(sep: str, whole: bool):
+    """Task function, by guess (null: the same under both): whole records, or parts of those that cross an edge."""
     names = ["path", "start", "guess", "seq", "kind", "text", "ended"]
     types = [pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.string(), pa.bool_()]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         both, seq = [_Cutter(False), _Cutter(True)], 0
-        for piece, line in _pieces(batches):
-            seq += 1
-            for cutter in both:
-                guess = None if len(both) == 1 else cutter is both[1]
-                if line is None:
-                    found, ended = cutter.rest(), False
-                else:
-                    found, ended = cutter.line(line, sep, seq), True
-                if found is not None:
-                    rows.append((*piece, guess, *found, ended))
-            if line is None:
+
+        def out(piece: tuple) -> pa.RecordBatch:
+            columns = [pa.repeat(pa.scalar(v, t), len(rows)) for v, t in zip(piece, types)]
+            columns += [pa.array(c, type=t) for c, t in zip(zip(*rows), types[len(piece) :])]
+            return pa.RecordBatch.from_arrays(columns, names=names)
+
+        for piece, lines in _pieces(batches):
+            if lines is None:
+                for cutter in both:
+                    found = cutter.rest()
+                    if found is not None and not whole:
+                        rows.append((None if len(both) == 1 else cutter is both[1], *found, False))
                 both, seq = [_Cutter(False), _Cutter(True)], 0
-            elif len(both) == 2 and not both[0].open and not both[1].open:
-                # Both stand between records: one goes on for both.
-                both = both[:1]
-            if len(rows) >= LINES:
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), types)], names=names)
+            else:
+                for line in lines.to_pylist():
+                    seq += 1
+                    for cutter in both:
+                        found = cutter.line(line, sep, seq)
+                        if found is not None and (found[1] == RECORD) == whole:
+                            rows.append((None if len(both) == 1 else cutter is both[1], *found, True))
+                    if len(both) == 2 and not both[0].open and not both[1].open:
+                        # Both stand between records: one goes on for both.
+                        both = both[:1]
+                    if len(rows) >= LINES:
+                        yield out(piece)
+                        rows = []
+            if rows and lines is None:
+                yield out(piece)
                 rows = []
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), types)], names=names)
 
     return task
 
@@ -164,14 +190,20 @@ def csv_records(spark: SparkSession, path: str | list[str], sep: str = ",") -> D
     file = Window.partitionBy("path")
     crlf = F.coalesce(F.max(F.when(F.col("start") == 0, F.col("crlf"))).over(file), F.lit(False))
     whole = F.sum("bytes").over(file) == F.col("size")
-    known = pieces.select(F.col("path").alias("_path"), F.col("start").alias("_start"), begins.alias("begins"), whole.alias("whole"), crlf.alias("crlf"))
-
-    cut = lines.select(*meta, "value").mapInArrow(_cut(sep), "path string, start long, guess boolean, seq long, kind int, text string, ended boolean")
-    true = cut.join(known, (F.col("path") == F.col("_path")) & (F.col("start") == F.col("_start")))
-    true = true.where(F.col("guess").isNull() | (F.col("guess") == F.col("begins")))
-    records = true.where(F.col("kind") == RECORD).select("path", "start", "seq", F.col("text").alias("record"), "crlf")
+    # One number, so that both joins below read one broadcast, with one row for each piece.
+    says = begins.cast("int") + 2 * F.coalesce(whole, F.lit(False)).cast("int") + 4 * crlf.cast("int")
+    known = F.broadcast(pieces.select(F.col("path").alias("_path"), F.col("start").alias("_start"), says.alias("says")))
+
+    def true(whole: bool) -> DataFrame:
+        """What was cut under the guess that holds."""
+        cut = lines.select(*meta, "value").mapInArrow(_cut(sep, whole), "path string, start long, guess boolean, seq long, kind int, text string, ended boolean")
+        rows = cut.join(known, (F.col("path") == F.col("_path")) & (F.col("start") == F.col("_start")))
+        rows = rows.where(F.col("guess").isNull() | (F.col("guess") == (F.getbit("says", F.lit(0)) == 1)))
+        return rows.withColumns({n: F.getbit("says", F.lit(i)) == 1 for i, n in ((1, "whole"), (2, "crlf"))})
+
+    records = true(whole=True).select("path", "start", "seq", F.col("text").alias("record"), "crlf")
     # Few rows: what records that cross an edge have on each side of it.
-    parts = true.where(F.col("kind") != RECORD)
+    parts = true(whole=False)
     number = F.sum(F.when(F.col("kind") == TAIL, 1).otherwise(0)).over(in_file.orderBy("start", "seq").rowsBetween(Window.unboundedPreceding, 0))
     joined = parts.withColumn("number", number).groupBy("path", "number").agg(
         F.sort_array(F.collect_list(F.struct("start", "seq", "text"))).alias("p"), F.max("ended").alias("ended"), F.first("whole").alias("whole"), F.first("crlf").alias("crlf")
