@@ -44,7 +44,15 @@ def lenient_double(c: Column) -> Column:
 
 
 def _first_date(c: Column, formats: tuple[str, ...]) -> Column:
-    return F.coalesce(*[F.try_to_date(c, f) for f in formats])
+    """A failed try costs far more than a good one, so what lacks the mark of a format is not tried."""
+
+    def tried(f: str) -> Column:
+        possible = c.contains(next(mark for mark in "-,/" if mark in f))
+        # A day never has three digits: what ends in a year does not begin with one.
+        possible = possible & ~c.rlike("/[1-9][0-9]{2,}$") if f == "yyyy/MM/dd" else possible
+        return F.when(possible, F.try_to_date(c, f))
+
+    return F.coalesce(*[tried(f) for f in formats])
 
 
 def parse_date(c: Column) -> Column:

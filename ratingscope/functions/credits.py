@@ -153,11 +153,12 @@ def _whole_objects(df: DataFrame, texts: dict[str, Column], types: dict[str, str
 
 def _workers(parsed: Column) -> Column:
     """Named crew with stripped name and one letter for the job; others are left out."""
-    job = lambda x: F.lower(F.coalesce(x["job"], F.lit("")))
+    # In lower case once, as what one list holds the next reads.
+    lower = F.transform(_named(parsed), lambda x: F.struct(x["name"].alias("name"), F.lower(F.coalesce(x["job"], F.lit(""))).alias("job")))
     kind = lambda x: (
-        F.when(job(x) == "director", "d").when(job(x).rlike("writer|screenplay"), "w").when(job(x).contains("producer"), "p")
+        F.when(x["job"] == "director", "d").when(x["job"].rlike("writer|screenplay"), "w").when(x["job"].contains("producer"), "p")
     )
-    known = F.transform(_named(parsed), lambda x: F.struct(strip(x["name"]).alias("name"), kind(x).alias("kind")))
+    known = F.transform(lower, lambda x: F.struct(strip(x["name"]).alias("name"), kind(x).alias("kind")))
     return F.filter(known, lambda x: x["kind"].isNotNull())
 
 

@@ -1,10 +1,13 @@
 """Work that grows with the tables: by how many tasks and how often they are read."""
 
+import glob
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from driver import queries
+from ratingscope.functions import casts
 from ratingscope.sources import read_csv
 
 
@@ -44,3 +47,31 @@ def test_multiline_csv_does_not_shuffle_its_records(spark, tmp_path):
     plan = read_csv(spark, f"{tmp_path}/a.csv", multiline=True, parallel=True)._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and "SortMergeJoin" not in plan
     assert not re.search(r"Exchange hashpartitioning\(path#\d+, start#\d+", plan)
+
+
+def test_dates_equal_those_of_plain_tries(spark):
+    texts = [
+        "1995-05-25", "1995/05/25", "05/25/1995", "25/05/1995", "1995", "1995-05", "unknown", "", " 1995-05-25", "5/25/1995", "May 5, 1995",
+        "September 15, 2001", "5/7/1995", "1995/05/250", "1995/05/025", "12/11/1995", "0012/11/12", "1995-05-25 10:00", "31/02/2001", "-,/", None,
+        "+12345-01-02", "12345/01/02", "01/02/12345", "2000/01/100", "1/2-3,4",
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "c string")
+    c = F.col("c")
+    for parse, formats in ((casts.parse_date, casts.DATE_FORMATS), (casts.parse_month_date, casts.MONTH_DATE_FORMATS)):
+        plain = F.coalesce(*[F.try_to_date(c, f) for f in formats])
+        assert df.where(~parse(c).eqNullSafe(plain)).collect() == []
+
+
+def test_dates_without_the_mark_of_a_format_are_not_tried(spark):
+    df = spark.createDataFrame([("05/25/1995",)], "c string")
+    # A try that fails makes an exception, so it stands behind a test of the text.
+    plan = df.select(casts.parse_date(F.col("c")))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("CASE WHEN") >= len(casts.DATE_FORMATS)
+
+
+def test_movie_files_are_written_by_many_tasks(spark, tables):
+    catalog = queries._abt_files(spark, tables)
+    for name in ("links", "rotten_tomatoes_movies", "netflix", "credits", "movies_metadata"):
+        found = glob.glob(f"{catalog.path(name)}/part-*".removeprefix("file:"))
+        assert name == "movies_metadata" or len(found) > 1, name
+        assert catalog.table(name).count() == 60
