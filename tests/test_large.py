@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from driver import queries
 from ratingscope.functions import casts
+from ratingscope.operators import hot_keys, match, salted_join
+from ratingscope.plans import abt
 from ratingscope.sources import read_csv
 
 
@@ -75,3 +77,34 @@ def test_movie_files_are_written_by_many_tasks(spark, tables):
         found = glob.glob(f"{catalog.path(name)}/part-*".removeprefix("file:"))
         assert name == "movies_metadata" or len(found) > 1, name
         assert catalog.table(name).count() == 60
+
+
+def _broadcast_joins(df):
+    """The broadcast joins of a plan, without those of the pieces of multi-line files: one row for each."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [x for x in re.findall(r"Broadcast(?:HashJoin|NestedLoopJoin)[^\n]*", plan) if "_start#" not in x]
+
+
+def test_movie_table_broadcasts_no_table(spark, tables, monkeypatch):
+    """Small files may hold many rows, so what Spark reckons from their size does not send them to the driver."""
+    found, names = [], []
+
+    def seen(write):
+        return lambda df, name, *more, **options: (names.append(name), found.extend(_broadcast_joins(df)), write(df, name, *more, **options))[-1]
+
+    monkeypatch.setattr(abt, "materialized", seen(abt.materialized))
+    monkeypatch.setattr(match, "written", seen(match.written))
+    monkeypatch.setattr(queries, "write_csv", seen(queries.write_csv))
+    result = queries.movie_table(spark, tables)
+    assert result.count() == 60 and {"abt-base", "match-left", "match-best"} <= set(names)
+    assert found + _broadcast_joins(result) == []
+
+
+def test_salted_join_broadcasts_neither_side(spark):
+    rows = spark.range(10).withColumnRenamed("id", "k")
+    hot = hot_keys(rows, ["k"], rows=5)
+    for how in ("inner", "left"):
+        joined = salted_join(rows, rows.withColumn("n", F.lit(1)), ["k"], None, spread_left=["k"], how=how)
+        assert _broadcast_joins(joined) == []
+    plan = salted_join(rows, rows.withColumn("n", F.lit(1)), ["k"], hot, spread_left=["k"])
+    assert all("_hot_k" in x for x in _broadcast_joins(plan))
