@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ..operators.joins import not_broadcast
 from ..operators.reports import match_report
 from ..sources.readers import require_columns
 
@@ -19,10 +20,11 @@ def attach_category(
 ) -> tuple[DataFrame, DataFrame]:
     """All review rows with ``category`` where the movie has one, and the match report.
 
-    The category list is not de-duplicated: a movie listed twice doubles its rows.
+    The category list is not de-duplicated: a movie listed twice doubles its rows. It has a row
+    for each movie, so it is not broadcast.
     ``files`` adds the number of files that hold reviews to the report, or with a path the
     number of all files there.
     """
     require_columns(reviews, [*required, key])
-    merged = reviews.join(categories.select(key, category), key, "left")
+    merged = reviews.join(not_broadcast(categories.select(key, category)), key, "left")
     return merged, match_report(reviews, merged, category, files)

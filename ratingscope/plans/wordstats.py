@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import not_broadcast
 from ..operators.reports import stop_word_report
 from ..operators.words import avg_tfidf, drop_stop_words, top_words, word_frequency
 from ..workdir import materialized
@@ -20,7 +21,7 @@ def category_words(reviews: DataFrame, clusters: DataFrame, **options) -> DataFr
         F.col("imdb_id").isNotNull() & F.col("category").isNotNull()
     )
     texts = reviews.select("imdb_id", "reviews_c", "reviews_u").where(F.col("imdb_id").isNotNull())
-    return word_frequency(texts.join(known, "imdb_id"), **options)
+    return word_frequency(texts.join(not_broadcast(known), "imdb_id"), **options)
 
 
 def clean_word_table(
@@ -44,4 +45,4 @@ def word_weights(reviews: DataFrame, clusters: DataFrame, text: str = "reviews_u
         F.col("imdb_id").isNotNull() & F.col("category").isNotNull()
     )
     texts = reviews.select("imdb_id", text).where(F.col("imdb_id").isNotNull())
-    return avg_tfidf(texts.join(known, "imdb_id"), text, ["category"], **options)
+    return avg_tfidf(texts.join(not_broadcast(known), "imdb_id"), text, ["category"], **options)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from driver import queries
 from ratingscope.functions import casts
 from ratingscope.operators import hot_keys, match, salted_join
-from ratingscope.plans import abt
+from ratingscope.plans import abt, attach_category, category_words, word_weights
 from ratingscope.sources import read_csv
 
 
@@ -108,3 +108,15 @@ def test_salted_join_broadcasts_neither_side(spark):
         assert _broadcast_joins(joined) == []
     plan = salted_join(rows, rows.withColumn("n", F.lit(1)), ["k"], hot, spread_left=["k"])
     assert all("_hot_k" in x for x in _broadcast_joins(plan))
+
+
+def test_classes_of_movies_are_not_broadcast(spark, tmp_path):
+    """The list of classes has a row for each movie."""
+    spark.createDataFrame([("tt1", "a"), ("tt2", "b"), (None, "c")], "imdb_id string, category string").write.parquet(f"{tmp_path}/classes")
+    classes = spark.read.parquet(f"{tmp_path}/classes")
+    reviews = spark.createDataFrame([("tt1", "t", "good film", None), ("tt3", "t", None, "bad")], "imdb_id string, title string, reviews_c string, reviews_u string")
+    merged = attach_category(reviews, classes)[0]
+    assert _broadcast_joins(merged) == []
+    assert sorted((r.imdb_id, r.category) for r in merged.collect()) == [("tt1", "a"), ("tt3", None)]
+    joined = [x for df in (category_words(reviews, classes), word_weights(reviews, classes, "reviews_c")) for x in _broadcast_joins(df)]
+    assert not any("imdb_id" in x for x in joined)
