@@ -18,7 +18,7 @@ from ..functions.casts import (
 )
 from ..functions.credits import parse_credits
 from ..functions.text import json_names
-from ..operators.dedupe import keep_one
+from ..operators.dedupe import keep_one, repeated_apart
 from ..operators.joins import hot_keys_if_any, or_join, salted_join
 from ..operators.match import THRESHOLD, fuzzy_match
 from ..operators.reports import review_aggregates
@@ -140,11 +140,8 @@ def clean_catalogue(catalogue: DataFrame) -> DataFrame:
     )
 
 
-def clean_credits(credits: DataFrame, mode: str = "auto") -> DataFrame:
-    """Parsed credits, one row per ``tmdb_id``: of several, the one with most actors."""
-    texts = credits.select(lenient_int(F.col("id")).alias("tmdb_id"), "cast", "crew")
-    parsed = parse_credits(texts, mode=mode)
-    flagged = parsed.select(
+def _parsed_credits(texts: DataFrame, mode: str) -> DataFrame:
+    return parse_credits(texts, mode=mode).select(
         "tmdb_id", "main_cast_names", "main_cast_characters",
         "director_names", "writer_names", "producer_names",
         F.size("main_cast_names").alias("cast_count"),
@@ -154,10 +151,28 @@ def clean_credits(credits: DataFrame, mode: str = "auto") -> DataFrame:
         (F.size("producer_names") > 0).alias("has_producer"),
         "extract_method",
     )
-    order = [F.desc("cast_count")] + [
-        F.col(c) for c in flagged.columns if c.endswith(("_names", "_characters", "_method"))
-    ]
-    return keep_one(flagged, "tmdb_id", order)
+
+
+def clean_credits(credits: DataFrame, mode: str = "auto", *, joined_by_id: bool = False) -> DataFrame:
+    """Parsed credits, one row per ``tmdb_id``: of several, the one with most actors.
+
+    The ids are counted first, so that only rows of repeated ids are shuffled. ``joined_by_id``
+    states that a join on ``tmdb_id`` follows: it shuffles all rows anyway, so they are
+    compared there and ``credits`` is read once.
+    """
+    texts = credits.select(lenient_int(F.col("id")).alias("tmdb_id"), "cast", "crew")
+
+    def kept(rows: DataFrame) -> DataFrame:
+        parsed = _parsed_credits(rows, mode)
+        order = [F.desc("cast_count")] + [
+            F.col(c) for c in parsed.columns if c.endswith(("_names", "_characters", "_method"))
+        ]
+        return keep_one(parsed, "tmdb_id", order)
+
+    if joined_by_id:
+        return kept(texts)
+    alone, repeated = repeated_apart(texts, "tmdb_id")
+    return _parsed_credits(alone, mode).unionByName(kept(repeated))
 
 
 def base_table(links: DataFrame, movies: DataFrame, work_dir: str | None = None) -> DataFrame:
@@ -231,7 +246,7 @@ def build_abt(
         abt = salted_join(abt, table, ["imdb_id"], hot, spread_left=spread, how="left")
     abt = salted_join(
         abt,
-        clean_credits(sources.credits, credits_mode),
+        clean_credits(sources.credits, credits_mode, joined_by_id=True),
         ["tmdb_id"],
         hot_keys_if_any(base, ["tmdb_id"]),
         spread_left=["imdb_id", *spread],
